@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textloom.sources.tables import table
 
-from . import consistent, layout, near, pairs
+from . import consistent, encode, layout, leak, near, pairs
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -21,5 +21,13 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.differing_pairs(consistent.lookalike_classes(table(spark, d, "docu")))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p5_found, p6_found)}
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encode.encode(table(spark, d, "documents"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leak.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p5_found, p6_found, p7_ids, p8_found)}
 ORACLE: dict[str, str] = {}
