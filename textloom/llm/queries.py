@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textloom.sources.tables import table
 
-from . import consistent, encode, layout, leak, near, pairs
+from . import consistent, encode, layout, leak, near, pairs, subject
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -29,5 +29,9 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leak.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p5_found, p6_found, p7_ids, p8_found)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return subject.subjects(table(spark, d, "documents"), table(spark, d, "subject_samples"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p5_found, p6_found, p7_ids, p8_found, p9_found)}
 ORACLE: dict[str, str] = {}
