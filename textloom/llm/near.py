@@ -4,7 +4,7 @@
    representative before anything is joined.
 2. Index-level skipping. Words are ordered from rare to frequent; only the head of a set is posted. Posting lists are cut
    into blocks by word and size band, so a probe never meets a block whose sizes cannot reach the threshold; inside a
-   block a posting is skipped by its position (what is left after it is too short) and by a 64-bit parity sketch, whose
+   block a posting is skipped by its position (what is left after it is too short) and by a 128-bit parity sketch, whose
    Hamming distance is a lower bound of the symmetric difference.
 3. Answer-level derivation. Each candidate's set is compared once with that of its smallest candidate neighbour, its
    leader. The overlap of two sets with one leader then follows exactly from their two small differences to it; only pairs
@@ -16,15 +16,17 @@ No step drops or caps anything: blocks, positions and sketches only skip what pr
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.plans.materialize import materialize
 
-from .consistent import consistent
+from .consistent import consistent_text
 
 #: Most words whose frequency is sent to the tasks (16 bytes each); the rest counts as rare and is ordered by its hash.
 RANKED_WORDS = 200_000
@@ -32,14 +34,42 @@ RANKED_WORDS = 200_000
 BROADCAST_IDS = 500_000
 
 
-def word_hashes(form: Column) -> Column:
-    words = F.regexp_extract_all(F.lower(form), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    return F.when(form.isNull(), F.array().cast("array<bigint>")).otherwise(F.transform(words, lambda w: F.xxhash64(w)))
+#: Words whose hash a Python worker remembers (about 100 bytes each).
+REMEMBERED_WORDS = 500_000
 
+_WORD = re.compile(r"[^\W_]+")
 
-def size_band(n: np.ndarray, threshold: float) -> np.ndarray:
-    """Band of a set size: sizes of one band differ by less than the threshold's factor."""
-    return np.floor(np.log(n) / -math.log(threshold) + 1e-9).astype(np.int64)
+
+class _Hashes(dict):
+    """Word to its 64-bit hash, computed once."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED_WORDS:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
+def _sets(min_words: int):
+    """Arrow stage: of each text the sorted hashes of its distinct words; records of too few words give no row."""
+
+    def run(batches):
+        hashes = _Hashes()
+        get = hashes.__getitem__
+        for b in batches:
+            ids, sets = [], []
+            for k, text in enumerate(b.column(1).to_pylist()):
+                if text is None or len(text) < 2 * min_words - 1:
+                    continue
+                words = _WORD.findall((text if text.isascii() else consistent_text(text)).lower())
+                if len(words) >= min_words:
+                    ids.append(k)
+                    sets.append(np.sort(np.fromiter(map(get, set(words)), np.uint64).view(np.int64)))
+            cuts = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ids, pa.int32())), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))], names=["id", "words"])
+
+    return run
 
 
 def _heads(ranks: np.ndarray, threshold: float):
@@ -60,19 +90,22 @@ def _heads(ranks: np.ndarray, threshold: float):
                 rank = np.full(len(flat), np.iinfo(np.int64).min)
             sort = np.lexsort((flat, rank, doc))
             flat = flat[sort]
-            bits = np.left_shift(np.uint64(1), (flat.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58))
+            spread = flat.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            bits = np.left_shift(np.uint64(1), spread >> np.uint64(58))
+            upper = (spread >> np.uint64(57)) & np.uint64(1) == 1
             begin = np.concatenate([[0], np.cumsum(lens)])[:-1]
             full = lens > 0
-            parity = np.zeros(len(lens), np.uint64)
+            parity = np.zeros((2, len(lens)), np.uint64)
             if full.any():
-                parity[full] = np.bitwise_xor.reduceat(bits, begin[full])
+                for k in (0, 1):
+                    parity[k, full] = np.bitwise_xor.reduceat(np.where(upper == k, bits, np.uint64(0)), begin[full])
             keep = np.where(full, lens - np.ceil(threshold * lens - 1e-9).astype(np.int64) + 1, 0)
             pos = np.arange(len(flat)) - np.repeat(begin, lens)
             head = flat[pos < np.repeat(keep, lens)]
             offsets = pa.array(np.concatenate([[0], np.cumsum(keep)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(lens.astype(np.int32)), pa.array(parity.view(np.int64)), b.column(2), pa.ListArray.from_arrays(offsets, pa.array(head))],
-                names=["id", "n", "parity", "set_key", "head"],
+                [b.column(0), pa.array(lens.astype(np.int32)), *(pa.array(p.view(np.int64)) for p in parity), b.column(2), pa.ListArray.from_arrays(offsets, pa.array(head))],
+                names=["id", "n", "p0", "p1", "set_key", "head"],
             )
 
     return run
@@ -80,9 +113,8 @@ def _heads(ranks: np.ndarray, threshold: float):
 
 def word_sets(docu: DataFrame, id_col: str = "id", text_col: str = "text", min_words: int = 15) -> DataFrame:
     """``id, words, set_key`` of every record of at least ``min_words`` words; null, empty and blank texts give no row."""
-    form = consistent(text_col)
-    base = docu.select(F.col(id_col).alias("id"), word_hashes(form).alias("all")).filter(F.size("all") >= min_words)
-    sets = base.select("id", F.array_sort(F.array_distinct("all")).alias("words"))
+    picked = docu.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    sets = picked.mapInArrow(_sets(min_words), "id long, words array<long>")
     return sets.withColumn("set_key", F.xxhash64("words", F.size("words")))
 
 
@@ -104,27 +136,27 @@ def near_classes(docu: DataFrame, id_col: str = "id", text_col: str = "text", th
     ranked = counts.orderBy(F.desc("df"), "word").limit(RANKED_WORDS).toPandas()
     ranks = {"word": ranked["word"].to_numpy(np.int64)}
 
-    heads = sets.select("id", "words", "set_key").mapInArrow(_heads(ranks, threshold), "id long, n int, parity long, set_key long, head array<long>")
+    heads = sets.select("id", "words", "set_key").mapInArrow(_heads(ranks, threshold), "id long, n int, p0 long, p1 long, set_key long, head array<long>")
     heads = materialize(heads, "heads")
-    reps = heads.groupBy("set_key").agg(F.min(F.struct("id", "n", "parity", "head")).alias("r")).select("set_key", "r.*")
+    reps = heads.groupBy("set_key").agg(F.min(F.struct("id", "n", "p0", "p1", "head")).alias("r")).select("set_key", "r.*")
     members = heads.select("id", "set_key").join(reps.select("set_key", F.col("id").alias("rep")), "set_key").select("id", "rep").distinct()
 
     t = F.lit(threshold)
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(threshold)) + 1e-9).cast("int")
-    probe = reps.select("id", "n", "parity", "head", F.explode(F.array(band, band - 1)).alias("band"))
+    probe = reps.select("id", "n", "p0", "p1", "head", F.explode(F.array(band, band - 1)).alias("band"))
     # a probe reaches down to sizes of threshold * n: its own band and the one below
-    probe = probe.select(F.col("id").alias("id_x"), F.col("n").alias("n_x"), F.col("parity").alias("p_x"), "band", F.posexplode("head").alias("i", "word"))
-    probe = probe.select("id_x", "n_x", "p_x", "i", F.xxhash64("word", "band").alias("block"))
+    probe = probe.select(F.col("id").alias("id_x"), F.col("n").alias("n_x"), F.col("p0").alias("p0_x"), F.col("p1").alias("p1_x"), "band", F.posexplode("head").alias("i", "word"))
+    probe = probe.select("id_x", "n_x", "p0_x", "p1_x", "i", F.xxhash64("word", "band").alias("block"))
     # the smaller set of a pair needs only a shorter head
     short = F.col("n") - F.ceil(F.col("n") * F.lit(2 * threshold / (1 + threshold)) - 1e-9) + 1
-    index = reps.select(F.col("id").alias("id_y"), F.col("n").alias("n_y"), F.col("parity").alias("p_y"), band.alias("band"), F.posexplode(F.slice("head", 1, short.cast("int"))).alias("j", "word"))
-    index = index.select("id_y", "n_y", "p_y", "j", F.xxhash64("word", "band").alias("block"))
+    index = reps.select(F.col("id").alias("id_y"), F.col("n").alias("n_y"), F.col("p0").alias("p0_y"), F.col("p1").alias("p1_y"), band.alias("band"), F.posexplode(F.slice("head", 1, short.cast("int"))).alias("j", "word"))
+    index = index.select("id_y", "n_y", "p0_y", "p1_y", "j", F.xxhash64("word", "band").alias("block"))
     need = _need(F.col("n_x"), F.col("n_y"), threshold)
     hits = probe.join(index, "block").filter(
         ((F.col("n_y") < F.col("n_x")) | ((F.col("n_y") == F.col("n_x")) & (F.col("id_y") < F.col("id_x"))))
         & (F.col("n_y") >= F.col("n_x") * t - 1e-9)
         & (F.least(F.col("n_x") - F.col("i"), F.col("n_y") - F.col("j")) >= need)
-        & (F.bit_count(F.col("p_x").bitwiseXOR(F.col("p_y"))) <= F.col("n_x") + F.col("n_y") - 2 * need)
+        & (F.bit_count(F.col("p0_x").bitwiseXOR(F.col("p0_y"))) + F.bit_count(F.col("p1_x").bitwiseXOR(F.col("p1_y"))) <= F.col("n_x") + F.col("n_y") - 2 * need)
     )
     cand = hits.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
     cand = materialize(cand, "candidates")
