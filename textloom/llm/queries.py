@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textloom.sources.tables import table
 
-from . import consistent, encode, language, layout, leak, near, pairs, quality, subject
+from . import consistent, encode, garble, language, layout, leak, near, pairs, quality, subject
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -25,6 +25,14 @@ def p2_passages(spark: SparkSession, d: str) -> DataFrame:
     return language.languages(table(spark, d, "docu"), table(spark, d, "lexicon"), cases_only=False)
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return garble.garbled(table(spark, d, "docu")).select("id")
+
+
+def p3_restored(spark: SparkSession, d: str) -> DataFrame:
+    return garble.garbled(table(spark, d, "docu"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return near.near_pairs(table(spark, d, "docu"))
 
@@ -61,5 +69,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return subject.subjects(table(spark, d, "documents"), table(spark, d, "subject_samples"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_passages, p4_found, p4_documents, p5_found, p5_groups, p6_found, p6_forms, p7_ids, p8_found, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_passages, p3_found, p3_restored, p4_found, p4_documents, p5_found, p5_groups, p6_found, p6_forms, p7_ids, p8_found, p9_found)}
 ORACLE: dict[str, str] = {}
