@@ -21,28 +21,28 @@ _WORD = r"[\p{L}\p{N}_]"
 
 #: ``(pattern, replacement)`` in order; ``$1`` style references, shared with other regex engines through :func:`steps_for`.
 TOKENIZE = [
-    (r" +$", ""),
+    (r" +\z", ""),
     *((c.replace(".", r"\."), f" {h} ") for c, h in zip(COMPOUND, _HOLD)),
     *((rf"([0-9]+){n.replace('.', chr(92) + '.')}([0-9]+)", f"$1{h}$2 ") for n, h in zip(NUMERIC, _HOLD[len(COMPOUND) :])),
     (f"({SPLIT_MARKS})", " $1 "),
-    (rf"({URL_MARKS})(?:\s|$)", " $1 "),
+    (rf"({URL_MARKS})(?:\s|\z)", " $1 "),
     (f"({_WORD})- ", "$1 - "),
     (f" -({_WORD})", " - $1"),
-    (f"({_WORD})-$", "$1 -"),
+    (rf"({_WORD})-\z", "$1 -"),
     (f"^-({_WORD})", "- $1"),
-    (r"\.$", " . "),
+    (r"\.\z", " . "),
 ]
 DETOKENIZE = [
-    (r" +$", ""),
+    (r" +\z", ""),
     (r" \.\.\.", f"{_HOLD[0]} "),
     *((" " + c, f"{h} ") for c, h in list(zip(COMPOUND, _HOLD))[1:]),
     *((rf"([0-9]+){n.replace('.', chr(92) + '.')}([0-9]+)", f"$1{h}$2") for n, h in zip(NUMERIC, _HOLD[len(COMPOUND) :])),
-    (r"I (['’]) (m|ve|d)(?:\s|$)", "I$1$2 "),
-    (r"([yY]ou|[tT]hey|[wW]e) (['’]) (re|ve|d)(?:\s|$)", "$1$2$3 "),
-    (r"([sS]he|[hH]e) (['’]) (s|ve|d)(?:\s|$)", "$1$2$3 "),
-    (r" (['’]) s(?:\s|$|\.)", "$1s "),
-    (r" (['’]) t(?:\s|$|\.)", "$1t "),
-    (r" (['’]) ll(?:\s|$|\.)", "$1ll "),
+    (r"I (['’]) (m|ve|d)(?:\s|\z)", "I$1$2 "),
+    (r"([yY]ou|[tT]hey|[wW]e) (['’]) (re|ve|d)(?:\s|\z)", "$1$2$3 "),
+    (r"([sS]he|[hH]e) (['’]) (s|ve|d)(?:\s|\z)", "$1$2$3 "),
+    (r" (['’]) s(?:\s|\z|\.)", "$1s "),
+    (r" (['’]) t(?:\s|\z|\.)", "$1t "),
+    (r" (['’]) ll(?:\s|\z|\.)", "$1ll "),
     (r'" ([^"]+) "', '"$1"'),
     (r"' ([^']+) '", "'$1'"),
     (r"' ([^’]+) ’", "'$1’"),
@@ -50,12 +50,12 @@ DETOKENIZE = [
     (f" ({OPEN_MARKS}) ", " $1"),
     (f"^({OPEN_MARKS}) ", "$1"),
     (f"({OPEN_MARKS})({OPEN_MARKS}) ", "$1$2"),
-    (rf" ({URL_MARKS})(?:\s|$) ", "$1"),
+    (rf" ({URL_MARKS})(?:\s|\z) ", "$1"),
     (f" ({CLOSE_MARKS}) ", "$1 "),
-    (f" ({CLOSE_MARKS})$", "$1"),
+    (rf" ({CLOSE_MARKS})\z", "$1"),
     (f"({_WORD}) - ", "$1- "),
     (f" - ({_WORD})", " -$1"),
-    (f"({_WORD}) -$", "$1-"),
+    (rf"({_WORD}) -\z", "$1-"),
     (f"^- ({_WORD})", "-$1"),
     (r"\s*\.", "."),
 ]

@@ -61,9 +61,12 @@ def apply_rule(c: Column, kind: str, pattern: str, replacement: str) -> Column:
         java = "(?U)" + pattern
         return strip(F.regexp_replace(c, java, java_template(replacement)))
     p = word_pattern(pattern)
-    at_start = c.rlike(rf"^(?=\p{{Lu}}){p.removeprefix(_BEFORE)}")
-    capital = replacement[:1].upper() + replacement[1:].lower()
-    return F.when(at_start, F.regexp_replace(c, p, _plain_replacement(capital))).otherwise(F.regexp_replace(c, p, _plain_replacement(replacement)))
+    start = rf"^(?=\p{{Lu}}){p.removeprefix(_BEFORE)}"
+    capital = _plain_replacement(replacement[:1].upper() + replacement[1:].lower())
+    plain = _plain_replacement(replacement)
+    # the lambda's variable stands for the text so far, so a chain of rules grows by one node per rule
+    done = F.transform(F.array(c), lambda t: F.when(t.rlike(start), F.regexp_replace(t, p, capital)).otherwise(F.regexp_replace(t, p, plain)))
+    return F.get(done, F.lit(0))
 
 
 def _udf(rules: list[tuple[str, str, str]]):
