@@ -59,12 +59,9 @@ def drop_replacement(c: Column) -> Column:
 
 
 def control_pictures(c: Column) -> Column:
-    """Pictures of control characters: line ends become newlines, the transmission block's end ``?``, others a blank.
-
-    Pictures listed twice count as blanks, which come first.
-    """
-    blanks = "".join(map(chr, range(0x2400, 0x2421)))
-    return F.translate(c, blanks + "␡␤", " " * len(blanks) + " \n")
+    """Pictures of control characters: those of line ends become newlines, that of an enquiry ``?``, others a blank."""
+    blanks = "".join(chr(cp) for cp in range(0x2400, 0x2422) if cp not in (0x2405, 0x240A))
+    return F.translate(c, blanks + "␅␤␊", " " * len(blanks) + "?\n\n")
 
 
 CATEGORIES = "Lu Ll Lt Lm Lo Mn Mc Me Nd Nl No Pc Pd Ps Pe Pi Pf Po Sm Sc Sk So Zs Zl Zp Cc Cf Cs Co Cn".split()

@@ -391,10 +391,10 @@ def percent_decode(spark, d):
     return table(spark, d, "documents").select("doc_id", clean.percent_decode(dirty).alias("text"))
 
 
-_PICTURES = "".join(map(chr, range(0x2400, 0x2421))) + "␡␤"
+_BLANKS = "".join(chr(cp) for cp in range(0x2400, 0x2422) if cp not in (0x2405, 0x240A))
 
 
-@_q(f"SELECT id, translate(text, {_quote(''.join(map(chr, range(0x2400, 0x2421))) + '␡')}, repeat(' ', 34)) AS text FROM docu WHERE regexp_matches(text, '[\\x{{2400}}-\\x{{2426}}]')")
+@_q(f"SELECT id, translate(text, {_quote(_BLANKS + '␅␤␊')}, repeat(' ', {len(_BLANKS)}) || '?' || chr(10) || chr(10)) AS text FROM docu WHERE regexp_matches(text, '[\\x{{2400}}-\\x{{2426}}]')")
 def control_pictures(spark, d):
     docu = table(spark, d, "docu").filter(F.col("text").rlike(r"[\x{2400}-\x{2426}]"))
     return docu.select("id", clean.control_pictures(F.col("text")).alias("text"))
@@ -410,7 +410,7 @@ def printable_text(spark, d):
     return table(spark, d, "docu").select("id", clean.printable(F.col("text")).alias("text"))
 
 
-@_q()
+@_q("SELECT id, regexp_replace(regexp_replace(regexp_replace(text, '[\\x01-\\x1f\\x7f-\\x9f]', '', 'g'), '[\\p{Cc}\\p{Cf}\\p{Co}\\p{Zl}\\p{Zp}]|[\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{202f}\\x{205f}\\x{3000}]', '', 'g'), '[\\x{fffd}\\x{fffe}\\x{ffff}\\x{feff}\\x{fffc}]', '', 'g') AS text FROM docu")
 def controls_dropped(spark, d):
     return table(spark, d, "docu").select("id", clean.drop_controls(F.col("text")).alias("text"))
 
