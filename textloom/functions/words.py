@@ -13,23 +13,31 @@ _CLASS = "[" + "".join("\\" + c if c in "[]" else c for c in SEPARATORS) + "]"
 _CLASS_DOCUMENT = "[" + "".join("\\" + c if c in "[]" else c for c in SEPARATORS[:-2]) + "]"
 
 
+#: One range that holds every blank beyond ASCII's six, and more: texts without it take the engine's short class.
+_UNUSUAL = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}-\x{3000}]"
+
+
+def _by_blanks(c: Column, function) -> Column:
+    return F.when(c.rlike(_UNUSUAL), function(f"[{WS}]", f"[^{WS}]")).otherwise(function(r"\s", r"\S"))
+
+
 def word_count(c: Column) -> Column:
     """Runs of non-blank characters."""
-    return F.regexp_count(c, F.lit(f"[^{WS}]+"))
+    return _by_blanks(c, lambda s, w: F.regexp_count(c, F.lit(f"{w}+")))
 
 
 def words(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(f"[^{WS}]+"), F.lit(0))
+    return _by_blanks(c, lambda s, w: F.regexp_extract_all(c, F.lit(f"{w}+"), F.lit(0)))
 
 
 def strip(c: Column) -> Column:
     """Without white space at either end (``trim`` knows the blank only)."""
-    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
+    return _by_blanks(c, lambda s, w: F.regexp_replace(c, rf"^{s}+|{s}+\z", ""))
 
 
 def collapse(c: Column) -> Column:
     """White space runs become one blank, none at the ends."""
-    return F.trim(F.regexp_replace(c, f"[{WS}]+", " "))
+    return _by_blanks(c, lambda s, w: F.trim(F.regexp_replace(c, f"{s}+", " ")))
 
 
 def line_count(c: Column) -> Column:

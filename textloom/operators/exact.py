@@ -17,11 +17,12 @@ def with_status(docs: DataFrame, order: str | Column, text: str = "text", thresh
     """
     o = F.col(order) if isinstance(order, str) else order
     h = key if key is not None else F.md5(text)
-    base = docs.withColumn("_order", o).withColumn("_short", F.coalesce(word_count(F.col(text)) < threshold, F.lit(True))).withColumn("_key", F.when(~F.col("_short"), h))
-    first = base.filter(~F.col("_short")).groupBy("_key").agg(F.min("_order").alias("_first"))
+    # a short document has a null key: it forms one group that nothing joins
+    base = docs.withColumn("_order", o).withColumn("_key", F.when(word_count(F.col(text)) >= threshold, h))
+    first = base.groupBy("_key").agg(F.min("_order").alias("_first"))
     joined = base.join(first, "_key", "left")
-    status = F.when(F.col("_short"), "short").when(F.col("_order") == F.col("_first"), "kept").otherwise("duplicate")
-    return joined.withColumn("status", status).drop("_order", "_short", "_key", "_first")
+    status = F.when(F.col("_key").isNull(), "short").when(F.col("_order") == F.col("_first"), "kept").otherwise("duplicate")
+    return joined.withColumn("status", status).drop("_order", "_key", "_first")
 
 
 def kept(docs: DataFrame, order: str, text: str = "text", threshold: int = 15) -> DataFrame:
@@ -36,12 +37,11 @@ def removed(docs: DataFrame, order: str, text: str = "text", threshold: int = 15
 
 def counters(docs: DataFrame, text: str = "text", threshold: int = 15) -> DataFrame:
     """``processed, removed, unique_docs``; ``removed`` counts short documents only."""
-    short = F.coalesce(word_count(F.col(text)) < threshold, F.lit(True))
-    keyed = docs.select(short.alias("s"), F.when(~short, F.md5(text)).alias("h"))
-    by_key = keyed.groupBy("s", "h").agg(F.count("*").alias("n"))
+    keyed = docs.select(F.when(word_count(F.col(text)) >= threshold, F.md5(text)).alias("h"))
+    by_key = keyed.groupBy("h").agg(F.count("*").alias("n"))
     return by_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("processed"),
-        F.coalesce(F.sum(F.when(F.col("s"), F.col("n"))), F.lit(0)).alias("removed"),
+        F.coalesce(F.sum(F.when(F.col("h").isNull(), F.col("n"))), F.lit(0)).alias("removed"),
         F.count("h").alias("unique_docs"),
     )
 

@@ -4,6 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Tables whose rows hold whole texts, so that the work is in the rows and not in the bytes.
+TEXT_TABLES = frozenset(["docu", "documents", "scored_docs"])
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table as it is read; a table of texts that comes as fewer splits than there are cores is dealt out to all of them.
+
+    A large table has more splits than cores and is never moved. Columns and filters still reach the scan.
+    """
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_TABLES and df.rdd.getNumPartitions() * 2 <= cores:
+        return df.repartition(cores)
+    return df
