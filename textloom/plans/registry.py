@@ -16,9 +16,9 @@ COMMANDS: dict[str, Callable] = {
     "tokenizer": tokens.tokenize,
     "detokenizer": tokens.detokenize,
     "filter_lang": lexicon.filter_lines,
-    "recoglang": lexicon.tag_documents,
-    "mt_quelingua": parallel.with_language_status,
-    "pyplexity": perplexity.filter_scores,
+    "document_language": lexicon.tag_documents,
+    "mt_language": parallel.with_language_status,
+    "perplexity": perplexity.filter_scores,
     "mt_transliteration": translate.translate_lines,
     "normalize": rules.normalize,
     "fix_new_lines": clean.clamp_newlines,

@@ -38,7 +38,7 @@ def write_parts(docs: DataFrame, path: str, file: str = "source_file", mode: str
     docs.write.mode(mode).partitionBy(file).json(path)
 
 
-def write_pairs(pairs: DataFrame, path: str, tag: str = "_quelingua", mode: str = "errorifexists") -> None:
+def write_pairs(pairs: DataFrame, path: str, tag: str = "_lang", mode: str = "errorifexists") -> None:
     """Four outputs of tagged pairs: source and target, matched and mismatched, lines in order."""
     for side in ("src", "tgt"):
         for status in ("matched", "mismatched"):
