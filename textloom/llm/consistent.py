@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from textloom.plans.materialize import materialize
+
 # Letters of other scripts that are drawn like a Latin letter.
 LOOKALIKES = {
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C",
@@ -94,16 +96,19 @@ def lookalike_classes(docu: DataFrame, id_col: str = "id", text_col: str = "text
     partners, or an empty one, gives no rows. Identical copies share a ``text_key``.
     """
     spark = docu.sparkSession
-    forms = consistent_forms(docu, id_col, text_col)
-    forms = forms.withColumn("skel", F.xxhash64(F.regexp_replace(F.lower("form"), r"[^\p{L}\p{N}]+", "")))
-    keyed = forms.filter(F.col("form").isNotNull()).select("id", "skel", F.xxhash64("text").alias("text_key"))
+    forms = consistent_forms(docu, id_col, text_col).filter(F.col("form").isNotNull())
+    skel = F.xxhash64(F.regexp_replace(F.lower("form"), r"[^\p{L}\p{N}]+", ""))
+    # the one pass over all texts; what follows touches texts that have a partner
+    keyed = materialize(forms.select("id", skel.alias("skel"), F.xxhash64("text").alias("text_hash")), "skeletons")
     # keys under which at least two different texts stand: min and max of the text hash combine on the map side
     partners = (
-        keyed.groupBy("skel").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi"))
+        keyed.groupBy("skel").agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi"))
         .filter("lo <> hi").select("skel")
     )
-    cand = forms.filter(F.col("form").isNotNull()).join(partners, "skel", "left_semi").filter(word_count(F.col("form")) >= min_words)
-    cand = cand.select("id", "skel", F.md5("text").alias("text_key"), "form")
+    wanted = keyed.join(partners, "skel", "left_semi").distinct()
+    texts = docu.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    cand = texts.join(wanted, ["id", "text_hash"]).withColumn("form", consistent("text")).filter(word_count(F.col("form")) >= min_words)
+    cand = materialize(cand.select("id", "skel", F.md5("text").alias("text_key"), "form"), "look-alikes")
     cand.createOrReplaceTempView("textloom_lookalike")
     return spark.sql(
         """
