@@ -21,13 +21,18 @@ def _by_blanks(c: Column, function) -> Column:
     return F.when(c.rlike(_UNUSUAL), function(f"[{WS}]", f"[^{WS}]")).otherwise(function(r"\s", r"\S"))
 
 
+def _once(c: Column, function) -> Column:
+    """``function(c)`` with ``c`` evaluated once, however often the function names it."""
+    return F.get(F.transform(F.array(c), function), F.lit(0))
+
+
 def word_count(c: Column) -> Column:
     """Runs of non-blank characters."""
     return _by_blanks(c, lambda s, w: F.regexp_count(c, F.lit(f"{w}+")))
 
 
 def words(c: Column) -> Column:
-    return _by_blanks(c, lambda s, w: F.regexp_extract_all(c, F.lit(f"{w}+"), F.lit(0)))
+    return _once(c, lambda x: _by_blanks(x, lambda s, w: F.regexp_extract_all(x, F.lit(f"{w}+"), F.lit(0))))
 
 
 def strip(c: Column) -> Column:
@@ -37,7 +42,7 @@ def strip(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """White space runs become one blank, none at the ends."""
-    return _by_blanks(c, lambda s, w: F.trim(F.regexp_replace(c, f"{s}+", " ")))
+    return _once(c, lambda x: _by_blanks(x, lambda s, w: F.trim(F.regexp_replace(x, f"{s}+", " "))))
 
 
 def line_count(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.words import strip, words
+from textloom.functions.words import words
 
 BEGIN, END = "<s>", "</s>"
 #: Parts into which every bigram's documents are spread when counts are joined to them.
@@ -14,8 +14,9 @@ SALTS = 8
 
 def bigrams(text: Column) -> Column:
     """Pairs of successive lower-case words with both edges; an empty text has the pair of its edges."""
-    w = F.concat(F.array(F.lit(BEGIN)), words(F.lower(strip(text))), F.array(F.lit(END)))
-    return F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    whole = F.concat(F.array(F.lit(BEGIN)), words(F.lower(text)), F.array(F.lit(END)))
+    pairs = F.transform(F.array(whole), lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
+    return F.get(pairs, F.lit(0))
 
 
 def _pairs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
