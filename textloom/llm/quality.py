@@ -70,10 +70,15 @@ _ODD = re.compile(ODD)
 _KNOWN = SENTENCE_WORDS.__contains__
 
 
+# The broken bar, a cell border, as wrong code pages show it.
+_BORDER = re.compile("┬[ªÂ]|¬¶|б╕|Â¦")
+
+
 def fold(text: str) -> str:
-    """Consistent form in lower case without accents."""
+    """Consistent form in lower case without accents, cell borders put right."""
     if text.isascii():
         return text.lower()
+    text = _BORDER.sub("¦", text)
     if _ODD.search(text):
         text = consistent_text(text)
     return _MARK.sub("", unicodedata.normalize("NFD", text.lower()))
