@@ -19,7 +19,7 @@ NUMERIC = [".", ",", "'"]
 _HOLD = [chr(0xE000 + k) for k in range(len(COMPOUND) + len(NUMERIC))]
 _WORD = r"[\p{L}\p{N}_]"
 
-#: ``(pattern, replacement)`` in order; ``$1`` style references, shared with other regex engines through :func:`steps_for`.
+# The rules of both directions, ``(pattern, replacement)``, in the order in which they apply.
 TOKENIZE = [
     (r" +\z", ""),
     *((c.replace(".", r"\."), f" {h} ") for c, h in zip(COMPOUND, _HOLD)),
