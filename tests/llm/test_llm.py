@@ -148,6 +148,17 @@ def test_garbled_records(spark):
     assert garble.garbled(docu(spark, rows).limit(0)).count() == 0
 
 
+def test_rare_contexts_of_a_source_count(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    other = [f"{a}{b}┤{c}{d}" for a in letters for b in letters for c in letters for d in letters[:12]]
+    rows = [(k, " ".join(other[k * 1000 : k * 1000 + 1000])) for k in range(len(other) // 1000 + 1)]
+    words = "mañá cociña tiña señor niño baño leña viño campaña montaña pequeno estraño sono amañar ensinar".split()
+    rows += [(1000 + k, " ".join(words)) for k in range(40)]
+    bad = {2000 + k: f"a casa {w.replace('ñ', '¤')} dela" for k, w in enumerate(words) if "ñ" in w}
+    got = {r.id: r.restored for r in garble.garbled(docu(spark, rows + list(bad.items()))).filter("id >= 1000").collect()}
+    assert got == {k: t.replace("¤", "ñ") for k, t in bad.items()}
+
+
 def test_subjects(spark):
     a = "Onte o gol e a liga cambiaron o partido. O penalti e a liga foron longos. A medalla e o gol tamén."
     b = "Onte o xuíz e a lei cambiaron o contrato. A fianza e a lei foron longas. O tribunal e o xuíz tamén."

@@ -1,11 +1,12 @@
 """p3: text that went through a wrong character encoding.
 
 An unknown swap of code pages is a substitution cipher: every accented letter became a unit of one or more odd characters.
-Records fall into sources by the kind of their odd characters. Over all records the contexts of each source's units (letter
-before, unit, letter after) are counted with map-side combining; expectation-maximization against the corpus's own letter
-bigrams then learns which letter each unit stands for, with two more readings that leave text as it is: a sign between
-words, and the plain letter a look-alike stands for. Units whose contexts speak clearly for a letter make up the source's
-cipher, and applying it (``translate`` for single characters, longest first for longer units) restores the text.
+Records fall into sources by the kind of their odd characters. Over all records the contexts of each source's units (letters
+before, unit, letters after) are counted with map-side combining. The driver reads the letter trigrams only, which the
+alphabet bounds; expectation-maximization against them then learns on the executors, unit by unit over all its contexts,
+which letter each unit stands for, with two more readings that leave text as it is: a sign between words, and the plain
+letter a look-alike stands for. Units whose contexts speak clearly for a letter make up the source's cipher, and applying it
+(``translate`` for single characters, longest first for longer units) restores the text.
 """
 
 from __future__ import annotations
@@ -19,16 +20,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.plans.materialize import materialize
+
 from .consistent import LOOKALIKES, mapping
 
-#: Most distinct contexts that the estimation reads, the most frequent first.
-MAX_CONTEXTS = 200_000
+#: Contexts of a unit that are weighed at once; more are taken block by block.
+BLOCK = 50_000
 #: Log-likelihood by which a unit's contexts must favour a letter over text as it is.
 EVIDENCE = 6.0
 _NATIVE = "áéíóúñçãõâêôàèùîïëûüœÁÉÍÓÚÑÇÃÕÂÊÔÀÈÙÎÏËÛÜŒ"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz" + "áéíóúñçãõâêôàèùîïëûüœ"
 _INDEX = {c: k for k, c in enumerate(_LETTERS)}
 _EDGE = len(_LETTERS)
+_SIZE = _EDGE + 1
 _LOST = "�"
 
 _UPPER = "ÁÉÍÓÚÑÇÃÕÂÊÔÀÈÙÎÏËÛÜŒ"
@@ -112,7 +116,22 @@ def _reading(prepare: _Prepare, text: str):
     return own, found, source
 
 
+def _around(p: str, n: str) -> tuple[int, int, int, int]:
+    """Numbers of the two letters before and the two after a unit."""
+    p2, p1 = ([_EDGE, _EDGE] + [_INDEX.get(c, _EDGE) for c in p])[-2:]
+    n1, n2 = ([_INDEX.get(c, _EDGE) for c in n] + [_EDGE, _EDGE])[:2]
+    return p2, p1, n1, n2
+
+
+def _code(letters) -> int:
+    code = 0
+    for k in letters:
+        code = code * _SIZE + k
+    return code
+
+
 def _count_stage(batches):
+    """``source, unit, code, times, inside``: contexts of units, and under the source '' the letter trigrams."""
     prepare = _Prepare()
     for b in batches:
         words: Counter = Counter()
@@ -124,7 +143,7 @@ def _count_stage(batches):
                 own, found, source = _reading(prepare, t)
                 for a, e, p, n in found:
                     if e - a <= 12 and _LOST not in own[a:e]:
-                        seen[source, p, own[a:e], n] += 1
+                        seen[source, own[a:e], p, n] += 1
             else:
                 words.update(_WORD.findall(t))
         grams: Counter = Counter()
@@ -132,24 +151,38 @@ def _count_stage(batches):
             w = "^^" + w.lower() + "$$"
             for k in range(len(w) - 2):
                 grams[w[k : k + 3]] += times
-        seen.update({("", g, "", ""): times for g, times in grams.items()})
-        rows = list(seen.items())
-        cols = list(zip(*(k for k, _ in rows))) if rows else [[]] * 4
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cols), pa.array([n for _, n in rows], pa.int64())], names=["source", "p", "unit", "n", "times"])
+        rows = [(source, unit, _code(_around(p, n)), times, times if p or n else 0) for (source, unit, p, n), times in seen.items()]
+        rows += [("", "", _code(_INDEX.get(c, _EDGE) for c in g), times, 0) for g, times in grams.items()]
+        cols = list(zip(*rows)) if rows else [[]] * 5
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, kinds)], names=["source", "unit", "code", "times", "inside"])
+
+
+def _groups(batches):
+    """``(source, unit), [codes, times, inside]`` of each unit in rows sorted by source and unit."""
+    key, held = None, []
+    for b in batches:
+        keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        numbers = np.stack([b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (2, 3, 4)])
+        starts = [k for k in range(len(keys)) if k == 0 or keys[k] != keys[k - 1]]
+        for a, e in zip(starts, [*starts[1:], len(keys)]):
+            if keys[a] != key:
+                if held:
+                    yield key, np.concatenate(held, 1)
+                key, held = keys[a], []
+            held.append(numbers[:, a:e])
+    if held:
+        yield key, np.concatenate(held, 1)
 
 
 class Ciphers:
     """``theta[source][unit]``: probabilities of the letters a unit stands for, last the text as it is."""
 
-    def __init__(self, rows):
-        size = _EDGE + 1
-        count = np.zeros((size, size, size))
-        units: dict[str, dict[str, list]] = {}
-        for source, p, unit, n, times in rows:
-            if source == "":
-                count[tuple(_INDEX.get(c, _EDGE) for c in p)] += times
-            else:
-                units.setdefault(source, {}).setdefault(unit, []).append((p, n, times))
+    def __init__(self, grams):
+        count = np.zeros(_SIZE**3)
+        for code, times in grams:
+            count[code] += times
+        count = count.reshape(_SIZE, _SIZE, _SIZE)
         two = count.sum(0) + 0.05
         one = two.sum(0)
         back = two / two.sum(1, keepdims=True)
@@ -157,16 +190,10 @@ class Ciphers:
         self.letter = one / one.sum()
         self.accented = np.array([not c.isascii() for c in _LETTERS])
         self.theta: dict[str, dict[str, np.ndarray]] = {}
-        for source, table in units.items():
-            for unit, seen in table.items():
-                theta = self._learn(unit, seen)
-                if theta is not None:
-                    self.theta.setdefault(source, {})[unit] = theta
 
     def likelihood(self, unit: str, p: str, n: str) -> np.ndarray:
         """Of the letters around a unit under each letter, and last under the text as it is."""
-        p2, p1 = ([_EDGE, _EDGE] + [_INDEX.get(c, _EDGE) for c in p])[-2:]
-        n1, n2 = ([_INDEX.get(c, _EDGE) for c in n] + [_EDGE, _EDGE])[:2]
+        p2, p1, n1, n2 = _around(p, n)
         m = _EDGE
         under = self.go[p2, p1, :m] * self.go[p1, :m, n1] * self.go[:m, n1, n2]
         sign = self.go[p2, p1, m] * self.go[m, m, n1] * self.go[m, n1, n2]
@@ -175,24 +202,40 @@ class Ciphers:
             sign = max(sign, under[plain])
         return np.append(under * self.accented, sign)
 
-    def _learn(self, unit: str, seen) -> np.ndarray | None:
-        w = np.array([t for _, _, t in seen], float)
-        inside = sum(t for p, n, t in seen if p or n)
-        if inside == 0:
+    def likelihoods(self, unit: str, codes: np.ndarray) -> np.ndarray:
+        """:meth:`likelihood` of many contexts, one row each."""
+        rest, n2 = np.divmod(codes, _SIZE)
+        rest, n1 = np.divmod(rest, _SIZE)
+        p2, p1 = np.divmod(rest, _SIZE)
+        m = _EDGE
+        under = self.go[p2, p1, :m] * self.go[p1, :m, n1] * self.go[:m, n1, n2].T
+        sign = self.go[p2, p1, m] * self.go[m, m, n1] * self.go[m, n1, n2]
+        plain = self._same(unit)
+        if plain is not None:
+            sign = np.maximum(sign, under[:, plain])
+        return np.column_stack([under * self.accented, sign])
+
+    def learn(self, unit: str, codes: np.ndarray, times: np.ndarray, inside: int) -> np.ndarray | None:
+        """``theta`` of a unit from all its contexts, or None where they do not speak clearly for a letter."""
+        w = times.astype(float)
+        if inside == 0 or w.sum() < 3:
             return None
-        keep = np.array([self.likelihood(unit, p, n) for p, n, _ in seen])
+        cuts = [slice(k, k + BLOCK) for k in range(0, len(w), BLOCK)]
+        kept = self.likelihoods(unit, codes) if len(cuts) == 1 else None
+
+        def blocks():
+            return ((self.likelihoods(unit, codes[c]) if kept is None else kept, w[c]) for c in cuts)
+
         theta = np.where(self.accented, self.letter[:_EDGE] + 1e-5, 0)
         theta = np.append(theta / theta.sum() * 0.5, 0.5)
         for _ in range(25):
-            q = keep * theta
-            q /= q.sum(1, keepdims=True)
-            theta = (q * w[:, None]).sum(0) + 1e-3
+            theta = theta * sum((x / (keep @ theta)) @ keep for keep, x in blocks()) + 1e-3
             theta /= theta.sum()
-        mixed = (keep[:, :_EDGE] * theta[:_EDGE]).sum(1) / max(theta[:_EDGE].sum(), 1e-9)
-        gain = np.clip(np.log(mixed + 1e-12) - np.log(keep[:, _EDGE] + 1e-12), -4, 3)
-        if theta[_EDGE] < 0.5 and (gain * w).sum() > EVIDENCE and w.sum() >= 3:
-            return theta
-        return None
+        if theta[_EDGE] >= 0.5:
+            return None
+        letters = theta[:_EDGE] / max(theta[:_EDGE].sum(), 1e-9)
+        gain = sum((np.clip(np.log(keep[:, :_EDGE] @ letters + 1e-12) - np.log(keep[:, _EDGE] + 1e-12), -4, 3) * x).sum() for keep, x in blocks())
+        return theta if gain > EVIDENCE else None
 
     def decode(self, source: str, unit: str, p: str, n: str) -> str | None:
         """The letters of a unit in its place, or None where it stays."""
@@ -278,17 +321,29 @@ def garbled(docu: DataFrame, id_col: str = "id", text_col: str = "text") -> Data
 
     ``restored`` is the text with every learned unit replaced; where nothing was learned (characters lost for good) it is the
     text as it is. Null, empty, blank and plain ASCII texts give no row; repeated rows are judged one by one. Ciphers are
-    learned from the contexts of all records.
+    learned from all contexts of all records.
     """
     text = docu.select(F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
-    counts = text.mapInArrow(_count_stage, "source string, p string, unit string, n string, times long")
-    counts = counts.groupBy("source", "p", "unit", "n").agg(F.sum("times").alias("times"))
-    rows = counts.orderBy(F.desc("times"), "source", "unit", "p", "n").limit(MAX_CONTEXTS).collect()
-    learned = Ciphers([tuple(r) for r in rows])
+    counts = text.mapInArrow(_count_stage, "source string, unit string, code int, times long, inside long")
+    counts = materialize(counts.groupBy("source", "unit", "code").agg(F.sum("times").alias("times"), F.sum("inside").alias("inside")), "contexts")
+    ciphers = Ciphers(counts.filter("source = ''").select("code", "times").collect())
+    context = docu.sparkSession.sparkContext
+    trigrams = context.broadcast(ciphers)
+
+    def learn(batches):
+        for (source, unit), (codes, times, inside) in _groups(batches):
+            theta = trigrams.value.learn(unit, codes, times, int(inside.sum()))
+            if theta is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([source]), pa.array([unit]), pa.array([theta.tolist()], pa.list_(pa.float64()))], names=["source", "unit", "theta"])
+
+    units = counts.filter("source <> ''").repartition("source", "unit").sortWithinPartitions("source", "unit", "code")
+    for r in units.mapInArrow(learn, "source string, unit string, theta array<double>").collect():
+        ciphers.theta.setdefault(r.source, {})[r.unit] = np.array(r.theta)
+    shared = context.broadcast(ciphers)
     picked = docu.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
 
     def run(batches):
-        finder = Finder(learned)
+        finder = Finder(shared.value)
         for b in batches:
             ids, out = [], []
             for k, t in enumerate(b.column(1).to_pylist()):
