@@ -112,6 +112,17 @@ def test_quality_merges_chunks(spark):
     assert quality.quality(docu(spark, rows).limit(0)).count() == 0
 
 
+def test_repetition_of_chunks_equals_the_whole(spark):
+    rng, vocab = random.Random(9), SENTENCE.format("sete").split()
+    block = "\n".join(" ".join(rng.choice(vocab) + str(rng.randint(0, 99)) for _ in range(12)) for _ in range(20))
+    rows = [(1, "\n".join([block] * 3)), (2, block), (3, " ".join(rng.choice("abc") for _ in range(60))), (4, "x" * 120 + " -- " * 40 + "y z " * 10), (5, "a b c d e f")]
+    whole = {r.id: r for r in quality.quality(docu(spark, rows)).collect()}
+    assert whole[1].kind == "junk" and whole[2].kind != "junk"
+    for chunk in (7, 97, 1000):
+        cut = {r.id: r for r in quality.quality(docu(spark, rows), chunk=chunk).collect()}
+        assert {i: (r.kind, r.repetition, r.word_count) for i, r in cut.items()} == {i: (r.kind, r.repetition, r.word_count) for i, r in whole.items()}
+
+
 def test_labels():
     f = language.label_code
     assert [f(x) for x in ("GL", "gl-ES", "glg", "pt_BR", "ca", "", None, "??", "unknown", "English")] == ["gl", "gl", "gl", "pt", "ca", None, None, None, None, "en"]

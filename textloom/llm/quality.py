@@ -3,11 +3,13 @@
 All statistics are sums over lines or over words, so they form a monoid: a document is cut into chunks, every chunk gives its
 sums plus the unfinished text at both of its ends (the boundary state), and merging two neighbours counts the line that
 their ends make together. Chunks of one document are merged in a tree (by groups of 64, then per document); the many
-documents of one chunk are finished where they are read. Ratios and the rules come last.
+documents of one chunk are finished where they are read. The number of different word trigrams is no sum: chunks and joints
+give digests of their trigrams, and a shuffle counts the different ones of each document. Ratios and the rules come last.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 
@@ -129,8 +131,8 @@ def _line(line: str, sums: list[float]) -> None:
     sums[23] += len(cut)
 
 
-def text_sums(text: str) -> list[float]:
-    """Sums over a stretch of whole lines of a folded text, with word repetition inside it."""
+def text_sums(text: str, repeats: bool = True) -> list[float]:
+    """Sums over a stretch of whole lines of a folded text, with word repetition inside it if it is the whole text."""
     sums = [0.0] * len(NAMES)
     sums[0] = len(text)
     words = _WORD.findall(text)
@@ -146,43 +148,87 @@ def text_sums(text: str) -> list[float]:
     sums[12] = sum(map(text.count, _CODE)) + (0 if text.isascii() else 3 * len(_CONTROL.findall(text)))
     for line in text.split("\n"):
         _line(line, sums)
-    if len(words) >= 20:
+    if repeats and len(words) >= 20:
         sums[21] = len(words) - 2
         sums[22] = len(set(zip(words, words[1:], words[2:])))
     return sums
 
 
+def _digests(words: list[str]) -> set[bytes]:
+    return {hashlib.blake2b(" ".join(t).encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in zip(words, words[1:], words[2:])}
+
+
+class Words:
+    """Trigrams of a stretch of text whose first and last word may go on outside it.
+
+    ``lead`` and ``trail`` hold its first and last three words, with a blank where the outer word is whole; their own trigrams
+    are not in ``seen`` yet. Under four words all stand in ``lead`` and ``trail`` is None.
+    """
+
+    def __init__(self, lead: str, trail: str | None = None, seen: set[bytes] | None = None):
+        self.lead, self.trail, self.seen = lead, trail, set() if seen is None else seen
+
+    @classmethod
+    def of(cls, text: str) -> Words:
+        words = _WORD.findall(text)
+        before = " " if text and not _WORD.match(text[0]) else ""
+        after = " " if text and not _WORD.match(text[-1]) else ""
+        if len(words) < 4:
+            return cls(before + " ".join(words) + after if words else before)
+        return cls(before + " ".join(words[:3]), " ".join(words[-3:]) + after, _digests(words[1:-1]))
+
+    def __add__(self, other: Words) -> Words:
+        if self.trail is None and other.trail is None:
+            return Words.of(self.lead + other.lead)
+        joint = (self.lead if self.trail is None else self.trail) + other.lead
+        new = Words.of(joint)
+        words = _WORD.findall(joint)
+        if self.trail is None:
+            return Words(joint if new.trail is None else new.lead, other.trail, other.seen | _digests(words[1:]))
+        if other.trail is None:
+            return Words(self.lead, joint if new.trail is None else new.trail, self.seen | _digests(words[:-1]))
+        return Words(self.lead, other.trail, self.seen | other.seen | _digests(words))
+
+    def close(self) -> set[bytes]:
+        return self.seen | _digests(_WORD.findall(self.lead)) | _digests(_WORD.findall(self.trail or ""))
+
+
 class Part:
     """Sums of a stretch of text and the unfinished lines at its ends; ``head`` is None when no line is finished."""
 
-    def __init__(self, sums, head: str | None, tail: str):
-        self.sums, self.head, self.tail = np.asarray(sums, float), head, tail
+    def __init__(self, sums, head: str | None, tail: str, words: Words):
+        self.sums, self.head, self.tail, self.words = np.asarray(sums, float), head, tail, words
 
     @classmethod
     def of(cls, text: str) -> Part:
         text = fold(text)
+        words = Words.of(text)
         if "\n" in text:
             head, rest = text.split("\n", 1)
             body, tail = rest.rsplit("\n", 1) if "\n" in rest else ("", rest)
-            return cls(text_sums(body), head, tail)
+            return cls(text_sums(body, False), head, tail, words)
         if len(text) < CHUNK // 2 or " " not in text:
-            return cls([0.0] * len(NAMES), None, text)
+            return cls([0.0] * len(NAMES), None, text, words)
         head, rest = text.split(" ", 1)
         body, tail = rest.rsplit(" ", 1) if " " in rest else ("", rest)
-        return cls(text_sums(body), head, tail)
+        return cls(text_sums(body, False), head, tail, words)
 
     def __add__(self, other: Part) -> Part:
+        words = self.words + other.words
         if other.head is None:
-            return Part(self.sums, self.head, self.tail + other.tail)
+            return Part(self.sums, self.head, self.tail + other.tail, words)
         if self.head is None:
-            return Part(other.sums, self.tail + other.head, other.tail)
-        return Part(self.sums + other.sums + np.array(text_sums(self.tail + other.head)), self.head, other.tail)
+            return Part(other.sums, self.tail + other.head, other.tail, words)
+        return Part(self.sums + other.sums + np.array(text_sums(self.tail + other.head, False)), self.head, other.tail, words)
 
     def close(self) -> np.ndarray:
+        """The sums of the whole text, but for the different trigrams among ``self.words.close()`` and its parts."""
         out = self.sums.copy()
         for end in (self.head, self.tail):
             if end:
-                out += np.array(text_sums(end))
+                out += np.array(text_sums(end, False))
+        if out[_AT["words"]] >= 20:
+            out[_AT["tri"]] = out[_AT["words"]] - 2
         return out
 
 
@@ -210,38 +256,61 @@ def kind(s) -> str | None:
     return "table" if row >= item else "list"
 
 
+_STATE = "sums array<double>, head string, tail string, lead string, trail string, grams array<binary>"
+
+
+def _state(p: Part) -> list:
+    return [p.sums.tolist(), p.head, p.tail, p.words.lead, p.words.trail, list(p.words.seen)]
+
+
 def _sums_stage(batches):
+    kinds = [pa.list_(pa.float64()), pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.binary()), pa.string()]
+    names = ["sums", "head", "tail", "lead", "trail", "grams", "kind"]
+
+    def out(b, rows):
+        cols = list(zip(*rows)) if rows else [[]] * 7
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *(pa.array(c, x) for c, x in zip(cols, kinds))], names=["id", "k", "n", *names])
+
     for b in batches:
-        sums, heads, tails, kinds = [], [], [], []
-        for text, n in zip(b.column(1).to_pylist(), b.column(3).to_pylist()):
+        rows, at = [], 0
+        for j, (text, n) in enumerate(zip(b.column(1).to_pylist(), b.column(3).to_pylist())):
             if n == 1:
                 s = text_sums(fold(text)) if text else [0.0] * len(NAMES)
-                sums.append(s), heads.append(None), tails.append(None), kinds.append(kind(s))
+                rows.append([s, None, None, None, None, None, kind(s)])
             else:
-                p = Part.of(text)
-                sums.append(p.sums.tolist()), heads.append(p.head), tails.append(p.tail), kinds.append(None)
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(2), b.column(3), pa.array(sums, pa.list_(pa.float64())), pa.array(heads, pa.string()), pa.array(tails, pa.string()), pa.array(kinds, pa.string())],
-            names=["id", "k", "n", "sums", "head", "tail", "kind"],
-        )
+                # a chunk has many digests: it goes out at once
+                rows.append([*_state(Part.of(text)), None])
+                yield out(b.slice(at, j + 1 - at), rows)
+                rows, at = [], j + 1
+        yield out(b.slice(at), rows)
 
 
 def _merge(pdf: pd.DataFrame) -> Part:
+    """Chunks merged in order; ``words.seen`` has the trigrams of their joints only."""
     total = None
     for r in pdf.sort_values("k").itertuples():
-        p = Part(r.sums, None if r.head is None else r.head, r.tail or "")
+        p = Part(r.sums, None if r.head is None else r.head, r.tail or "", Words(r.lead or "", r.trail, set(r.grams)))
         total = p if total is None else total + p
     return total
 
 
 def _merge_some(pdf: pd.DataFrame) -> pd.DataFrame:
-    p = _merge(pdf)
-    return pd.DataFrame({"id": [pdf["id"].iloc[0]], "row": [pdf["row"].iloc[0]], "k": [pdf["k"].min()], "sums": [p.sums.tolist()], "head": [p.head], "tail": [p.tail]})
+    row = {"id": pdf["id"].iloc[0], "row": pdf["row"].iloc[0], "k": pdf["k"].min()}
+    return pd.DataFrame([row | dict(zip(("sums", "head", "tail", "lead", "trail", "grams"), _state(_merge(pdf))))])
 
 
 def _merge_all(pdf: pd.DataFrame) -> pd.DataFrame:
-    s = _merge(pdf).close()
-    return pd.DataFrame({"id": [pdf["id"].iloc[0]], "sums": [s.tolist()], "kind": [kind(s)]})
+    p = _merge(pdf)
+    return pd.DataFrame({"id": [pdf["id"].iloc[0]], "sums": [p.close().tolist()], "grams": [list(p.words.close())]})
+
+
+def _judge(batches):
+    """Sums and kinds of merged documents once their different trigrams are counted."""
+    for b in batches:
+        sums = b.column(1).to_pylist()
+        for s, n in zip(sums, b.column(2).to_pylist()):
+            s[_AT["tri_distinct"]] = float(n or 0) if s[_AT["tri"]] else 0.0
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sums, pa.list_(pa.float64())), pa.array([kind(s) for s in sums], pa.string())], names=["id", "sums", "kind"])
 
 
 def quality(docu: DataFrame, id_col: str = "id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -256,12 +325,17 @@ def quality(docu: DataFrame, id_col: str = "id", text_col: str = "text", chunk:
     text = F.col(text_col)
     pieces = F.when(n == 1, F.array(text)).otherwise(F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.substr(text, k * chunk + 1, F.lit(chunk))))
     base = docu.select(F.col(id_col).cast("long").alias("id"), n.alias("n"), F.posexplode(pieces).alias("k", "text")).select("id", "text", "k", "n")
-    parts = base.mapInArrow(_sums_stage, "id long, k int, n int, sums array<double>, head string, tail string, kind string")
+    parts = base.mapInArrow(_sums_stage, f"id long, k int, n int, {_STATE}, kind string")
     parts = materialize(parts, "quality")
     # chunks of repeated ids stay apart by the number of chunks and the group they begin in
     cut = parts.filter("n > 1").withColumn("row", F.floor(F.col("k") / FAN_IN).cast("int"))
-    some = cut.select("id", "k", "row", "sums", "head", "tail").groupBy("id", "row").applyInPandas(_merge_some, "id long, row int, k int, sums array<double>, head string, tail string")
-    whole = some.groupBy("id").applyInPandas(_merge_all, "id long, sums array<double>, kind string")
+    # the tree carries the digests of joints only; those of the chunks go straight to the count
+    state = cut.select("id", "k", "row", "sums", "head", "tail", "lead", "trail", F.array().cast("array<binary>").alias("grams"))
+    some = state.groupBy("id", "row").applyInPandas(_merge_some, f"id long, row int, k int, {_STATE}")
+    whole = materialize(some.groupBy("id").applyInPandas(_merge_all, "id long, sums array<double>, grams array<binary>"), "merged")
+    grams = cut.select("id", F.explode("grams").alias("gram")).unionByName(whole.select("id", F.explode("grams").alias("gram")))
+    distinct = grams.distinct().groupBy("id").agg(F.count("*").alias("n"))
+    whole = whole.select("id", "sums").join(distinct, "id", "left").mapInArrow(_judge, "id long, sums array<double>, kind string")
     both = parts.filter("n = 1").select("id", "sums", "kind").unionByName(whole)
 
     def s(name: str):
