@@ -123,6 +123,16 @@ def test_repetition_of_chunks_equals_the_whole(spark):
         assert {i: (r.kind, r.repetition, r.word_count) for i, r in cut.items()} == {i: (r.kind, r.repetition, r.word_count) for i, r in whole.items()}
 
 
+def test_chunks_of_repeated_ids_stay_apart(spark):
+    texts = [" ".join(f"palabra{k}" for k in range(60)), "\n".join(f"- cousa {k}" for k in range(40)), None]
+    rows = [(1, texts[0]), (1, texts[0]), (1, texts[1]), (None, texts[1]), (None, texts[1]), (1, texts[2])]
+
+    def figures(chunk):
+        return sorted((str(r.id), str(r.kind), r.word_count, r.line_count) for r in quality.quality(docu(spark, rows), chunk=chunk).collect())
+
+    assert figures(97) == figures(quality.CHUNK) and len(figures(97)) == len(rows)
+
+
 def test_labels():
     f = language.label_code
     assert [f(x) for x in ("GL", "gl-ES", "glg", "pt_BR", "ca", "", None, "??", "unknown", "English")] == ["gl", "gl", "gl", "pt", "ca", None, None, None, None, "en"]

@@ -269,7 +269,7 @@ def _sums_stage(batches):
 
     def out(b, rows):
         cols = list(zip(*rows)) if rows else [[]] * 7
-        return pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *(pa.array(c, x) for c, x in zip(cols, kinds))], names=["id", "k", "n", *names])
+        return pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], *(pa.array(c, x) for c, x in zip(cols, kinds))], names=["id", "k", "n", "row", *names])
 
     for b in batches:
         rows, at = [], 0
@@ -295,13 +295,13 @@ def _merge(pdf: pd.DataFrame) -> Part:
 
 
 def _merge_some(pdf: pd.DataFrame) -> pd.DataFrame:
-    row = {"id": pdf["id"].iloc[0], "row": pdf["row"].iloc[0], "k": pdf["k"].min()}
+    row = {"id": pdf["id"].iloc[0], "row": pdf["row"].iloc[0], "part": pdf["part"].iloc[0], "k": pdf["k"].min()}
     return pd.DataFrame([row | dict(zip(("sums", "head", "tail", "lead", "trail", "grams"), _state(_merge(pdf))))])
 
 
 def _merge_all(pdf: pd.DataFrame) -> pd.DataFrame:
     p = _merge(pdf)
-    return pd.DataFrame({"id": [pdf["id"].iloc[0]], "sums": [p.close().tolist()], "grams": [list(p.words.close())]})
+    return pd.DataFrame({"id": [pdf["id"].iloc[0]], "row": [pdf["row"].iloc[0]], "sums": [p.close().tolist()], "grams": [list(p.words.close())]})
 
 
 def _judge(batches):
@@ -324,18 +324,19 @@ def quality(docu: DataFrame, id_col: str = "id", text_col: str = "text", chunk:
     n = F.greatest(F.ceil(length / F.lit(chunk)), F.lit(1)).cast("int")
     text = F.col(text_col)
     pieces = F.when(n == 1, F.array(text)).otherwise(F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.substr(text, k * chunk + 1, F.lit(chunk))))
-    base = docu.select(F.col(id_col).cast("long").alias("id"), n.alias("n"), F.posexplode(pieces).alias("k", "text")).select("id", "text", "k", "n")
-    parts = base.mapInArrow(_sums_stage, f"id long, k int, n int, {_STATE}, kind string")
+    # every row has a number of its own before it is cut, so that chunks of repeated ids stay apart; it is written with them
+    numbered = docu.select(F.col(id_col).cast("long").alias("id"), n.alias("n"), pieces.alias("pieces"), F.monotonically_increasing_id().alias("row"))
+    base = numbered.select("id", "n", "row", F.posexplode("pieces").alias("k", "text")).select("id", "text", "k", "n", "row")
+    parts = base.mapInArrow(_sums_stage, f"id long, k int, n int, row long, {_STATE}, kind string")
     parts = materialize(parts, "quality")
-    # chunks of repeated ids stay apart by the number of chunks and the group they begin in
-    cut = parts.filter("n > 1").withColumn("row", F.floor(F.col("k") / FAN_IN).cast("int"))
+    cut = parts.filter("n > 1").withColumn("part", F.floor(F.col("k") / FAN_IN).cast("int"))
     # the tree carries the digests of joints only; those of the chunks go straight to the count
-    state = cut.select("id", "k", "row", "sums", "head", "tail", "lead", "trail", F.array().cast("array<binary>").alias("grams"))
-    some = state.groupBy("id", "row").applyInPandas(_merge_some, f"id long, row int, k int, {_STATE}")
-    whole = materialize(some.groupBy("id").applyInPandas(_merge_all, "id long, sums array<double>, grams array<binary>"), "merged")
-    grams = cut.select("id", F.explode("grams").alias("gram")).unionByName(whole.select("id", F.explode("grams").alias("gram")))
-    distinct = grams.distinct().groupBy("id").agg(F.count("*").alias("n"))
-    whole = whole.select("id", "sums").join(distinct, "id", "left").mapInArrow(_judge, "id long, sums array<double>, kind string")
+    state = cut.select("id", "row", "part", "k", "sums", "head", "tail", "lead", "trail", F.array().cast("array<binary>").alias("grams"))
+    some = state.groupBy("row", "part").applyInPandas(_merge_some, f"id long, row long, part int, k int, {_STATE}")
+    whole = materialize(some.groupBy("row").applyInPandas(_merge_all, "id long, row long, sums array<double>, grams array<binary>"), "merged")
+    grams = cut.select("row", F.explode("grams").alias("gram")).unionByName(whole.select("row", F.explode("grams").alias("gram")))
+    distinct = grams.distinct().groupBy("row").agg(F.count("*").alias("n"))
+    whole = whole.join(distinct, "row", "left").select("id", "sums", "n").mapInArrow(_judge, "id long, sums array<double>, kind string")
     both = parts.filter("n = 1").select("id", "sums", "kind").unionByName(whole)
 
     def s(name: str):
