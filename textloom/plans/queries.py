@@ -601,5 +601,7 @@ def parallel_pipeline(spark, d):
 def translation_pipeline(spark, d):
     from . import pipelines
 
-    pairs = table(spark, d, "parallel_corpus").dropDuplicates(["source_file", "pos"])
-    return pipelines.translated_corpus(pairs, _dictionary(spark, d), table(spark, d, "rules"), ["source_file", "pos"])
+    # full repeats go only; different pairs of one place stay apart by a key of their own
+    pairs = table(spark, d, "parallel_corpus").dropDuplicates(["source_file", "pos", "src", "tgt"])
+    pairs = pairs.withColumn("pair_key", F.sha2(F.to_json(F.struct("src", "tgt")), 256))
+    return pipelines.translated_corpus(pairs, _dictionary(spark, d), table(spark, d, "rules"), ["source_file", "pos", "pair_key"]).drop("pair_key")
