@@ -98,6 +98,21 @@ def test_leaks_against_brute_force():
     assert set(zip(d.tolist(), i.tolist())) == expected and expected
 
 
+def test_cut_texts_equal_whole_ones_in_every_figure(spark):
+    rng, vocab = random.Random(18), SENTENCE.format("sete").split()
+    prose = " ".join(rng.choice(vocab) for _ in range(900))
+    menu = " > ".join(rng.choice(["Inicio", "Quen somos", "Aviso legal", "Contacto", "unha sección longa"]) for _ in range(400))
+    cells = " | ".join(rng.choice(["a casa", "12,5", "-", "n/a", "O can, 12, 13"]) for _ in range(700))
+    items = "; ".join(rng.sample(vocab, 2)[0] + " de " + rng.choice(vocab) for _ in range(500))
+    tags = "".join(f'<td class="a b c">{rng.choice(vocab)} {rng.choice(vocab)}</td>' for _ in range(300))
+    bases = [prose, menu, cells, items, tags, prose.replace(" ", ""), "┬ª".join(vocab * 40), " " * 500 + prose, "1) " + prose]
+    bases += ["".join(rng.choice(bases)[:3000] + rng.choice(["\n", " ", "\n\n"]) for _ in range(4)) for _ in range(6)] + [prose * 4]
+    rows = [(k, t) for k, t in enumerate(bases)]
+    whole = {r.id: r for r in quality.quality(docu(spark, rows)).collect()}
+    for chunk in (97, 500, 4001):
+        assert {r.id: r for r in quality.quality(docu(spark, rows), chunk=chunk).collect()} == whole
+
+
 def test_quality_merges_chunks(spark):
     rng, vocab = random.Random(8), SENTENCE.format("sete").split()
     prose = "\n".join(" ".join(rng.sample(vocab, len(vocab))) + "." for k in range(30))
