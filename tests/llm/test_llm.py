@@ -203,3 +203,52 @@ def test_subjects(spark):
     got = {tuple(r) for r in subject.subjects(docs, samples).collect()}
     assert got == {(1, "sport"), (2, "sport"), (2, "law"), (6, "law")}
     assert subject.subjects(docs, samples.limit(0)).count() == 0
+
+
+def test_subjects_of_held_out_texts():
+    rng = random.Random(12)
+    terms = {"law": "xuíz lei contrato fianza tribunal avogada".split(), "sport": "gol liga penalti medalla regata copa".split(), "none": "casa tren noite praza".split()}
+    frames = ["onte o {} e a {} cambiaron moito", "ninguén agardaba que o {} chegase ata a {}", "a xente lembra o {} e tamén a {} con agarimo", "os datos sobre o {} falan sempre da {}"]
+
+    def text(subject, n=3):
+        return " ".join(rng.choice(frames).format(*rng.sample(terms[subject], 2)).capitalize() + "." for _ in range(n))
+
+    rows = [(text(s), s) for s in terms for _ in range(40)]
+    rows = [(t, s if k % 29 else "law") for k, (t, s) in enumerate(rows)]  # wrong labels
+    models = subject.Models(rows, sorted(terms))
+    texts, expected = [], []
+    for _ in range(200):
+        a, b = rng.sample(["law", "sport"], 2)
+        texts.append(text(a, 2) + " " + text(b, rng.choice([0, 1, 2])))
+        expected.append({a} | ({b} if texts[-1].count(".") > 3 else set()))
+    d, s = models.subjects_of(texts, 2)
+    got = [set() for _ in texts]
+    for k, x in zip(d, s):
+        got[k].add(models.subjects[x])
+    assert sum(g == e for g, e in zip(got, expected)) >= 196
+    # a sentence between two subjects counts for both
+    d, s = models.subjects_of(["O xuíz, a lei, o contrato, a liga, o gol, a copa. A fianza, o tribunal, a avogada, o penalti, a medalla, a regata."], 2)
+    assert {models.subjects[x] for x in s} == {"law", "sport"}
+
+
+def test_probabilities_of_subjects_sum_to_one():
+    rng = random.Random(13)
+    rows = [(" ".join(rng.choice(["ab"[k % 2] + c for c in "cdef"] + ["o", "que"]) for _ in range(9)) + ".", "xy"[k % 2]) for k in range(60)]
+    m = subject.Models(rows, ["x", "y"], 1)
+    docs = [w for t, _ in rows for w in subject.sentences(t)]
+    uni = {w: sum(s.count(w) for s in docs) for w in {w for s in docs for w in s}}
+    two = defaultdict(int)
+    for s in docs:
+        for p in zip(s, s[1:]):
+            two[p] += 1
+    total, size = sum(uni.values()), m.size
+    pairs = {int(k): g for k, g in zip(m.pair_key, m.pair_gain)}
+    for v in ("o", "ac", "be"):
+        follows = sum(n for (a, _), n in two.items() if a == v)
+        p = sum((0.5 * two[v, w] / follows + 0.5 * n / total) * 2 ** pairs[m.vocab[v] * size + m.vocab[w]] for w, n in uni.items() if two[v, w])
+        # words not met after v keep the factor of the word itself, under the same sum
+        z = {w: 2 ** m.word_gain[m.vocab[w]] for w in uni}
+        rest = [w for w in uni if not two[v, w]]
+        assert all(p <= 1.02) and (not rest or all(p > 0)) and all(abs(sum(n / total * z[w] for w, n in uni.items()) - 1) < 1e-9)
+        if not rest:
+            assert all(abs(p - 1) < 1e-9)
