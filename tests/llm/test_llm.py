@@ -208,6 +208,7 @@ def test_subjects(spark):
 def test_subjects_of_held_out_texts():
     rng = random.Random(12)
     terms = {"law": "xuíz lei contrato fianza tribunal avogada".split(), "sport": "gol liga penalti medalla regata copa".split(), "none": "casa tren noite praza".split()}
+    terms |= {"health": "virus sangue dose cirurxía".split(), "farming": "millo vaca tractor viña".split(), "culture": "poema gaita teatro coro".split()}
     frames = ["onte o {} e a {} cambiaron moito", "ninguén agardaba que o {} chegase ata a {}", "a xente lembra o {} e tamén a {} con agarimo", "os datos sobre o {} falan sempre da {}"]
 
     def text(subject, n=3):

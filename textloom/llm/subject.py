@@ -25,7 +25,7 @@ from .consistent import consistent_text
 #: Most labelled rows the models are fitted on.
 MAX_SAMPLES = 20_000
 #: Weights of the background, of a word's rate and of a pair's rate.
-WEIGHTS = (0.2, 0.4, 0.4)
+WEIGHTS = (0.6, 0.2, 0.2)
 #: Weight of the pair's own frequency in the background model; the rest is the word's.
 PAIR_WEIGHT = 0.5
 #: Pseudo-count that pulls rates towards the background.
