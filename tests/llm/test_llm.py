@@ -32,6 +32,24 @@ def test_lookalikes_and_copies(spark):
     assert layout.layout_copies(empty).count() == 0 and pairs.differing_pairs(consistent.lookalike_classes(empty)).count() == 0
 
 
+def test_collated_classes_and_their_canonical_member(spark):
+    t = SENTENCE.format(1)
+    # a control character has no weight under the collation, but it is no form of the plain text
+    rows = [(5, t), (2, t.replace("o", "ο")), (3, t.replace("casa", "ca\x01sa")), (4, t.replace("casa", "cása")), (6, t.replace("e", "е")), (7, SENTENCE.format(2)), (8, None)]
+    members = {r.id: (r.class_id, r.canonical) for r in consistent.lookalike_classes(docu(spark, rows)).collect()}
+    assert members == {k: (2, t) for k in (2, 3, 5, 6)}
+    assert {tuple(r) for r in pairs.differing_pairs(consistent.lookalike_classes(docu(spark, rows))).collect()} == {(2, 5), (2, 6), (5, 6)}
+    forms = {r.id: r.form for r in consistent.canonical_forms(docu(spark, rows)).collect()}
+    assert forms == {2: t, 3: t, 4: t.replace("casa", "cása"), 5: t, 6: t, 7: SENTENCE.format(2), 8: None}
+
+
+def test_a_class_that_holds_a_third_of_all_rows(spark):
+    t = SENTENCE.format(1)
+    rows = [(k, t if k % 3 else t.replace("o", "ο")) for k in range(30)] + [(100 + k, SENTENCE.format(k + 5)) for k in range(60)]
+    got = {tuple(r) for r in pairs.differing_pairs(consistent.lookalike_classes(docu(spark, rows))).collect()}
+    assert got == {(a, b) for a in range(30) for b in range(a + 1, 30) if (a % 3 == 0) != (b % 3 == 0)}
+
+
 def test_fields_in_any_order_keep_their_values(spark):
     text = SENTENCE.format(3)
     a = f"titulo: unha\nlugar: Lugo\nresumo: {text}"

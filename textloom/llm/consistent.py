@@ -85,15 +85,22 @@ def consistent_forms(docu: DataFrame, id_col: str = "id", text_col: str = "text"
     return docu.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), consistent(text_col).alias("form"))
 
 
+#: Parts into which the members of one class are dealt where they meet it, so that a class of any size is spread.
+SALTS = 8
+#: Replaced forms up to which they are looked up by broadcast; more are joined with a shuffle.
+BROADCAST_ROWS = 100_000
+
+
 def lookalike_classes(docu: DataFrame, id_col: str = "id", text_col: str = "text", min_words: int = 15) -> DataFrame:
-    """Classes of records whose texts differ but look alike: ``id, text_key, class_id, canonical``.
-
-    A coarse key (letters and digits of the consistent form, lower case) finds texts that have any partner at all; only
-    those are grouped, in SQL, under the accent-sensitive ``UNICODE`` collation, which also equates what is left of
-    canonical equivalence. The member with the smallest id is the canonical one and is joined back; members whose form is
-    not exactly the canonical member's form fall into their own exact class. ``class_id`` is the smallest id of the exact
-    class. Records of fewer than ``min_words`` words, null, empty and blank texts are in no class; a table without
-    partners, or an empty one, gives no rows. Identical copies share a ``text_key``.
+    """Classes of texts that look alike: ``id, text_key, form_key, class_id, canonical`` of records in a class of at least
+    two different texts.
+
+    A coarse key (letters and digits of the consistent form, lower case) finds texts that have any partner at all. Their
+    different texts are grouped, in SQL, under the accent-sensitive ``UNICODE`` collation, which also equates characters
+    without a look, such as controls. The member with the smallest id is the canonical one: its id names the class, and its
+    form is joined back to every member. ``form_key`` tells the exact forms of a class apart. Records of fewer than
+    ``min_words`` words, null, empty and blank texts are in no class; a table without partners, or an empty one, gives no
+    rows. Identical copies share a ``text_key``. Members meet their class by text and salt, so copies of one text are spread.
     """
     spark = docu.sparkSession
     forms = consistent_forms(docu, id_col, text_col).filter(F.col("form").isNotNull())
@@ -109,17 +116,32 @@ def lookalike_classes(docu: DataFrame, id_col: str = "id", text_col: str = "text
     texts = docu.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     cand = texts.join(wanted, ["id", "text_hash"]).withColumn("form", consistent("text")).filter(word_count(F.col("form")) >= min_words)
     cand = materialize(cand.select("id", "skel", F.md5("text").alias("text_key"), "form"), "look-alikes")
-    cand.createOrReplaceTempView("textloom_lookalike")
     return spark.sql(
         """
-        WITH canon AS (
-          SELECT skel, form COLLATE UNICODE AS cls, min_by(form, id) AS canonical
-          FROM textloom_lookalike GROUP BY skel, form COLLATE UNICODE),
-        joined AS (
-          SELECT l.id, l.skel, l.text_key, c.canonical, md5(l.form) AS form_key
-          FROM textloom_lookalike l JOIN canon c ON l.skel = c.skel AND l.form COLLATE UNICODE = c.cls)
-        SELECT id, text_key, form_key, canonical,
-               min(id) OVER (PARTITION BY skel, form_key) AS class_id
-        FROM joined
-        """
-    )
+        WITH texts AS (
+          SELECT skel, text_key, min(struct(id, form)) AS t FROM {cand} GROUP BY skel, text_key),
+        canon AS (
+          SELECT skel, t.form COLLATE UNICODE AS cls, min(t) AS c FROM texts
+          GROUP BY skel, t.form COLLATE UNICODE HAVING count(*) > 1),
+        classes AS (
+          SELECT x.text_key, md5(x.t.form) AS form_key, c.id AS class_id, c.form AS canonical, explode(sequence(0, {salts} - 1)) AS salt
+          FROM texts x JOIN canon ON x.skel = canon.skel AND x.t.form COLLATE UNICODE = canon.cls)
+        SELECT m.id, m.text_key, form_key, class_id, canonical
+        FROM {cand} m JOIN classes ON m.text_key = classes.text_key AND pmod(xxhash64(m.id), {salts}) = classes.salt
+        """,
+        cand=cand, salts=SALTS,
+    )
+
+
+def canonical_forms(docu: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """``id, form`` of every record: its consistent form, and for members of a class the canonical member's form.
+
+    Null texts have a null form. Of repeated ids all rows are kept; a form is replaced only where it is the member's own.
+    """
+    members = lookalike_classes(docu, id_col, text_col)
+    moved = members.filter(F.col("form_key") != F.md5("canonical")).select("id", "form_key", "canonical").distinct()
+    moved = materialize(moved, "canonical-forms")
+    few = moved.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    forms = consistent_forms(docu, id_col, text_col).select("id", "form").withColumn("form_key", F.md5("form"))
+    out = forms.join(F.broadcast(moved) if few else moved, ["id", "form_key"], "left")
+    return out.select("id", F.coalesce("canonical", "form").alias("form"))

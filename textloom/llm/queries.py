@@ -54,7 +54,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_forms(spark: SparkSession, d: str) -> DataFrame:
-    return consistent.consistent_forms(table(spark, d, "docu")).select("id", "form")
+    return consistent.canonical_forms(table(spark, d, "docu"))
+
+
+def p6_classes(spark: SparkSession, d: str) -> DataFrame:
+    return consistent.lookalike_classes(table(spark, d, "docu")).select("id", "class_id", "canonical")
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -69,5 +73,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return subject.subjects(table(spark, d, "documents"), table(spark, d, "subject_samples"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_passages, p3_found, p3_restored, p4_found, p4_documents, p5_found, p5_groups, p6_found, p6_forms, p7_ids, p8_found, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_passages, p3_found, p3_restored, p4_found, p4_documents, p5_found, p5_groups, p6_found, p6_forms, p6_classes, p7_ids, p8_found, p9_found)}
 ORACLE: dict[str, str] = {}
