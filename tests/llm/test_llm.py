@@ -116,6 +116,42 @@ def test_leaks_against_brute_force():
     assert set(zip(d.tolist(), i.tolist())) == expected and expected
 
 
+def _least_edits(window, words):
+    """Fewest changed, added or left out words that turn a stretch of ``words`` into ``window``."""
+    row = [0] * (len(words) + 1)
+    for k, w in enumerate(window, 1):
+        new = [k]
+        for j, x in enumerate(words, 1):
+            new.append(min(row[j - 1] + (w != x), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("edits", [1, 2])
+def test_leaks_with_edits_against_brute_force(edits, monkeypatch):
+    monkeypatch.setattr(leak, "PAIRS", 200)
+    rng = random.Random(15 + edits)
+    vocab = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmn"]
+    items = {k: " ".join(rng.choice(vocab) for _ in range(rng.randint(7, 16))) for k in range(25)}
+    texts = [None, ""]
+    for _ in range(120):
+        w = [rng.choice(vocab) for _ in range(rng.choice([0, 3, 12]))]
+        x = rng.choice(list(items.values())).split()
+        m = rng.randint(0, max(0, len(x) - 8))
+        x = x[m : m + 8]
+        for _ in range(rng.randint(0, 3)):
+            j = rng.randrange(len(x))
+            x[j : j + rng.randint(0, 1)] = [rng.choice(vocab)] * rng.randint(0, 1)
+            x = x or ["bal"]
+        w[len(w) // 2 : len(w) // 2] = x
+        texts.append(" ".join(w))
+    expected = {(n, k) for n, t in enumerate(texts) if t for k, i in items.items() for w in [i.split()] for j in range(len(w) - 7) if _least_edits(w[j : j + 8], t.split()) <= edits}
+    d, i = leak.find(leak.Items(list(items), list(items.values()), 8, edits), texts)
+    assert set(zip(d.tolist(), i.tolist())) == expected and len(expected) > 60
+    exact = leak.find(leak.Items(list(items), list(items.values()), 8, 0), texts)
+    assert set(zip(*map(list, exact))) < expected
+
+
 def test_cut_texts_equal_whole_ones_in_every_figure(spark):
     rng, vocab = random.Random(18), SENTENCE.format("sete").split()
     prose = " ".join(rng.choice(vocab) for _ in range(900))

@@ -1,13 +1,14 @@
 """p8: evaluation texts leaking into training text.
 
 A document is read as one stream of folded characters: the consistent form without accents and case, words separated by
-one blank. Eight successive words of a test item that stand in a document share all their character q-grams on one
-diagonal, so by the q-gram lemma a region can only match if a diagonal band counts at least ``length + 1 - q * (edits + 1)``
-shared q-grams. Bands overlap by half, so a match never falls between two. Regions that reach the bound are verified by
-aligning words inside the band.
-
-Hashing, filtering and counting run on whole Arrow batches in numpy; only the test items, a table of fixed size that is
-read in blocks, travel to the tasks.
+one blank. A passage of ``words`` successive words of a test item that stands in a document with at most ``edits`` words
+changed, added or left out holds a run of unchanged words, of which the shortest possible has ``run`` words; all its
+character q-grams lie on one diagonal. By the q-gram lemma a region can only match if a diagonal band counts at least as
+many shared q-grams as the shortest such run has. Bands overlap by half, so a match never falls between two. Regions that
+reach the bound are verified by a banded alignment of words, ``edits`` word diagonals to either side.
+
+Hashing, filtering, counting and aligning run on whole Arrow batches in numpy; only the test items, a table of fixed size
+that is read in blocks, travel to the tasks.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from .consistent import mapping
 BLOCK_CHARS = 4_000_000
 #: Characters that the filter hashes at a time, so that its arrays stay in the processor's cache.
 CHUNK_CHARS = 200_000
+#: Pairs of equal q-grams that are held at a time.
+PAIRS = 5_000_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 #: Stands between texts; folds to 1, which no item holds.
 _BOUND = 0x10FFFF
@@ -140,17 +143,19 @@ class Items:
         self.usable = len(inside) > 0
         if not self.usable:
             return
-        # characters of each window of successive words, without a blank at its end
+        # characters of each run of words that a match must leave whole, without a blank at its end
+        run = -(-(words - edits) // (edits + 1))
         ends = np.cumsum(s.word_len)
         first = ends - s.word_len
         last_is_blank = s.chars[ends - 1] == 32
-        length = (ends - last_is_blank)[inside + words - 1] - first[inside]
+        runs = np.flatnonzero(owner[: len(owner) - run + 1] == owner[run - 1 :])
+        length = (ends - last_is_blank)[runs + run - 1] - first[runs]
         self.least = int(length.min())
-        q = 4
-        while q * 2 <= min(32, self.least // (edits + 1)):
+        q = 1
+        while q * 2 <= min(32, self.least):
             q *= 2
         self.q = q
-        self.bound = max(1, self.least + 1 - q * (edits + 1))
+        self.bound = max(1, self.least + 1 - q)
         h, ok = s.grams(q)
         at = np.flatnonzero(ok)
         order = np.argsort(h[at], kind="stable")
@@ -202,22 +207,50 @@ def find(items: Items, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]
 
 
 def _regions(items: Items, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    s, t, q = Stream(texts), items.stream, items.q
-    h, ok = s.grams(q)
+    s = Stream(texts)
+    h, ok = s.grams(items.q)
     at = np.flatnonzero(ok & items.bits[h >> np.uint64(42)])
     lo = np.searchsorted(items.hash, h[at], "left")
-    hi = np.searchsorted(items.hash, h[at], "right")
-    many = hi - lo
+    many = np.searchsorted(items.hash, h[at], "right") - lo
     at, lo, many = at[many > 0], lo[many > 0], many[many > 0]
-    if not len(at):
+    out = [np.zeros((2, 0), np.int64)]
+    if len(at) and many.sum() <= PAIRS:
+        out.append(_match(items, s, np.repeat(at, many), items.place[_ranges(lo, many)]))
+    elif len(texts) > 1:
+        half = len(texts) // 2
+        for first, part in ((0, texts[:half]), (half, texts[half:])):
+            d, i = _regions(items, part)
+            out.append(np.stack([d + first, np.searchsorted(items.ids, i)]))
+    elif len(at):
+        # one text that shares very many q-grams: a group of items at a time, pairs made in stretches
+        cuts = np.searchsorted(np.cumsum(many), np.arange(0, many.sum(), PAIRS) + 1)
+        cuts = [*np.unique(cuts).tolist(), len(at)]
+        groups = np.array_split(np.arange(len(items.ids)), min(len(items.ids), len(cuts)))
+        for group in groups:
+            kept = []
+            for x, y in zip(cuts, cuts[1:]):
+                d, i = np.repeat(at[x:y], many[x:y]), items.place[_ranges(lo[x:y], many[x:y])]
+                near = (items.stream.owner[i] >= group[0]) & (items.stream.owner[i] <= group[-1])
+                kept.append((d[near], i[near]))
+            out.append(_match(items, s, *map(np.concatenate, zip(*kept))))
+    hit = np.unique(np.concatenate(out, axis=1), axis=1)
+    return hit[0], items.ids[hit[1]]
+
+
+def _ranges(lo: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """``lo, lo + 1, ...`` of each range."""
+    return np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+
+
+def _match(items: Items, s: Stream, d: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """``text number, item number`` of matches among shared q-grams at ``d`` of the texts and ``i`` of the items."""
+    none = np.zeros((2, 0), np.int64)
+    t, n, edits = items.stream, items.words, items.edits
+    if not len(d):
         return none
-    d = np.repeat(at, many)
-    k = np.arange(len(d)) - np.repeat(np.cumsum(many) - many, many)
-    i = items.place[np.repeat(lo, many) + k]
     # diagonals of one text and item, gathered into bands that overlap by half
     doc, item = s.owner[d].astype(np.int64), t.owner[i].astype(np.int64)
-    diagonal, width = d - i, 2 * (items.edits + 1)
+    diagonal, width = d - i, 2
     found = np.zeros(len(d), bool)
     for shift in (0, width // 2):
         band = (diagonal + shift) // width
@@ -227,36 +260,44 @@ def _regions(items: Items, texts: list[str | None]) -> tuple[np.ndarray, np.ndar
         group = np.cumsum(new) - 1
         size = np.bincount(group)
         found[order] |= size[group] >= items.bound
-    d, i, doc, item = d[found], i[found], doc[found], item[found]
+    d, i = d[found], i[found]
     if not len(d):
         return none
-    # banded alignment of words: runs of equal words on the word diagonals of the regions
-    dw, iw = s.word[d], t.word[i]
-    cells = np.unique(np.stack([doc, item, dw - iw, iw]), axis=1)
-    # every word that a shared q-gram touches, not only its first one
-    reach = np.arange(-1, items.words + 1)
-    grown = np.repeat(cells, len(reach), axis=1)
-    grown[3] += np.tile(reach, cells.shape[1])
-    grown = grown[:, (grown[3] >= 0) & (grown[3] < len(t.word_hash))]
-    grown = grown[:, (grown[3] + grown[2] >= 0) & (grown[3] + grown[2] < len(s.word_hash))]
-    grown = np.unique(grown, axis=1)
-    dw = grown[2] + grown[3]
-    equal = (s.word_owner[dw] == grown[0]) & (t.word_owner[grown[3]] == grown[1]) & (s.word_hash[dw] == t.word_hash[grown[3]])
-    g = grown[:, equal]
-    if not g.shape[1]:
+    # windows of the item that hold a word a q-gram of a region touches, on that word's diagonal
+    cells = np.unique(np.stack([s.word[d] - t.word[i], t.word[i], s.owner[d]]), axis=1)
+    starts = np.repeat(cells, n + 1, axis=1)
+    starts[1] += np.tile(np.arange(1 - n, 2), cells.shape[1])
+    starts = starts[:, (starts[1] >= 0) & (starts[1] + n <= len(t.word_hash))]
+    starts = starts[:, t.word_owner[starts[1]] == t.word_owner[starts[1] + n - 1]]
+    if not starts.shape[1]:
         return none
-    fresh = np.concatenate([[True], (np.diff(g[0]) != 0) | (np.diff(g[1]) != 0) | (np.diff(g[2]) != 0) | (np.diff(g[3]) != 1)])
-    run = np.cumsum(fresh) - 1
-    long_enough = np.bincount(run) >= items.words
-    hit = np.unique(g[:2, long_enough[run]], axis=1)
-    return hit[0], items.ids[hit[1]]
-
-
-def _stage(items: Items):
+    starts = np.unique(starts, axis=1)
+    shift, begin, doc = starts
+    at = begin + shift
+    cost = np.zeros((2 * edits + 1, len(begin)), np.int32)
+    for k in range(n):
+        step = np.empty_like(cost)
+        for b in range(2 * edits + 1):
+            w = at + k + b - edits
+            ok = (w >= 0) & (w < len(s.word_hash))
+            w = np.where(ok, w, 0)
+            same = ok & (s.word_owner[w] == doc) & (s.word_hash[w] == t.word_hash[begin + k])
+            # a changed word, or one of the item left out, or one of the text added
+            step[b] = cost[b] + ~same
+            if b < 2 * edits:
+                step[b] = np.minimum(step[b], cost[b + 1] + 1)
+            if b > 0:
+                step[b] = np.minimum(step[b], step[b - 1] + 1)
+        cost = step
+    hit = cost.min(0) <= edits
+    return np.unique(np.stack([doc[hit], t.word_owner[begin[hit]].astype(np.int64)]), axis=1)
+
+
+def _stage(shared):
     def run(batches):
         for b in batches:
             texts = b.column(1).to_pylist()
-            docs, ids = find(items, texts)
+            docs, ids = find(shared.value, texts)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(docs)), pa.array(ids, pa.int64())], names=["doc_id", "item_id"])
 
     return run
@@ -265,15 +306,21 @@ def _stage(items: Items):
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", words: int = 8, edits: int = 0) -> DataFrame:
     """``doc_id, item_id``: every document that holds at least ``words`` successive words of an item.
 
-    Case, accents, punctuation and white space are ignored. ``edits`` only widens the filter's bands. Null, empty and blank
-    texts on either side, and items of fewer words, match nothing; an empty table gives no rows. Repeated documents are
-    reported once each; item ids are taken as unique. Items are read to the driver in blocks of ``BLOCK_CHARS`` characters.
+    Case, accents, punctuation and white space are ignored. With ``edits`` up to so many of the words may be changed, added
+    or left out in the document (fewer than half of ``words``). Null, empty and blank texts on either side, and items of
+    fewer words, match nothing; an empty table gives no rows. Repeated documents are reported once each; item ids are taken
+    as unique. Items are read to the driver in blocks of ``BLOCK_CHARS`` characters; a block's index is broadcast, and each
+    further block is one more pass over the documents.
     """
+    if not 0 <= edits * 2 < words:
+        raise ValueError("edits must be fewer than half of the words")
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
     out, ids, texts, size = None, [], [], 0
 
     def flush(out):
-        part = picked.mapInArrow(_stage(Items(ids, texts, words, edits)), "doc_id long, item_id long")
+        order = sorted(range(len(ids)), key=ids.__getitem__)
+        items = Items([ids[k] for k in order], [texts[k] for k in order], words, edits)
+        part = picked.mapInArrow(_stage(docs.sparkSession.sparkContext.broadcast(items)), "doc_id long, item_id long")
         return part if out is None else out.unionByName(part)
 
     rows = benchmark.select(F.col(item_col).cast("long"), F.col(item_text_col)).filter(F.col(item_text_col).isNotNull()).filter(F.length(F.trim(item_text_col)) > 0)
