@@ -116,6 +116,25 @@ def test_leaks_against_brute_force():
     assert set(zip(d.tolist(), i.tolist())) == expected and expected
 
 
+def test_long_words_equal_the_public_tokenizer(tmp_path, monkeypatch):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = f"{encode.VOCABULARIES}/byte_bpe_50k.json"
+    own = tokenizers.Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    monkeypatch.chdir(tmp_path)
+    rng, v = random.Random(2), encode.Vocabulary(path)
+    words = ["".join(rng.choice(s) for _ in range(n)) for s in ("abcdefghijklmnopqrstuvwxyz", "acgt", "ab", "0123456789", "=-#", "aaab", "ABCDEFabcdef/+") for n in (64, 300, 5000)]
+    words += ["a" * 50_000, "ab" * 3000 + "aab" * 500, "的" * 999 + "一" * 998, "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(2000)), "thequickbrownfoxjumps" * 300]
+    got = v.encode_batch(words).to_pylist()
+    assert got == [own.encode(w, add_special_tokens=False).ids for w in words]
+    assert not list(tmp_path.iterdir())
+    # without the order of merges that the shorter way needs
+    v.known.clear()
+    v.ordered = False
+    some = [w for w in words if len(w) < 6000][:8]
+    assert v.encode_batch(some).to_pylist() == [own.encode(w, add_special_tokens=False).ids for w in some]
+
+
 def _least_edits(window, words):
     """Fewest changed, added or left out words that turn a stretch of ``words`` into ``window``."""
     row = [0] * (len(words) + 1)

@@ -65,6 +65,10 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode(table(spark, d, "documents"))
 
 
+def p7_texts(spark: SparkSession, d: str) -> DataFrame:
+    return encode.decode(encode.encode(table(spark, d, "documents")))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leak.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -73,5 +77,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return subject.subjects(table(spark, d, "documents"), table(spark, d, "subject_samples"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_passages, p3_found, p3_restored, p4_found, p4_documents, p5_found, p5_groups, p6_found, p6_forms, p6_classes, p7_ids, p8_found, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_passages, p3_found, p3_restored, p4_found, p4_documents, p5_found, p5_groups, p6_found, p6_forms, p6_classes, p7_ids, p7_texts, p8_found, p9_found)}
 ORACLE: dict[str, str] = {}
