@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from textloom.llm import consistent, encode, garble, language, layout, leak, near, pairs, quality, subject
@@ -236,12 +237,58 @@ def test_language_field_finds_passages():
             w = text.split()
             rng.shuffle(w)
             rows.append((" ".join(w + w[:5]), x))
-    tagger = language.Tagger(language.Field({}).fit(rows))
+    tagger = language.Tagger(language.Field({}, ("en", "gl")).fit(rows))
     found = tagger.passages([gl.split(), en.split() + gl.split(), []])
-    assert [[language.LANGUAGES[p[0]] for p in f] for f in found] == [["gl"], ["en", "gl"], []]
+    assert [[("en", "gl")[p[0]] for p in f] for f in found] == [["gl"], ["en", "gl"], []]
     assert all(p[3] > 0.9 for f in found for p in f)
 
 
+def test_runs_merge_as_in_a_plain_search():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        raw = np.repeat(rng.dirichlet([0.2] * 3, 12), rng.integers(1, 15, 12), axis=0)
+        post = raw / raw.sum(1, keepdims=True)
+        best = post.argmax(1)
+        cut = [0, *(np.flatnonzero(np.diff(best)) + 1).tolist()]
+        runs = [[int(best[a]), a, e] for a, e in zip(cut, [*cut[1:], len(best)])]
+        while len(runs) > 1:
+            weak = [k for k, (x, a, e) in enumerate(runs) if e - a < 8 or post[a:e, x].mean() < language.MIN_CONFIDENCE]
+            if not weak:
+                break
+            k = min(weak, key=lambda k: (runs[k][2] - runs[k][1], runs[k][1]))
+            near = [j for j in (k - 1, k + 1) if 0 <= j < len(runs)]
+            runs[k][0] = runs[max(near, key=lambda j: (post[runs[k][1] : runs[k][2], runs[j][0]].sum(), runs[j][2] - runs[j][1]))][0]
+            joined = []
+            for r in runs:
+                if joined and joined[-1][0] == r[0]:
+                    joined[-1][2] = r[2]
+                else:
+                    joined.append(list(r))
+            runs = joined
+        assert [(x, a, e) for x, a, e, _ in language._merge(post)] == [tuple(r) for r in runs]
+
+
+def test_long_texts_and_languages_of_the_labels(spark):
+    gl = "o can non foi nunca á praza cando a choiva chegou despois da noite e ninguén soubo por que".split()
+    nl = "de hond was nooit daar toen de regen na de nacht kwam en niemand wist waarom dat zo was".split()
+    rng = random.Random(16)
+    rows = [(k, " ".join(rng.sample(w, len(w)) + w[:4]), x) for k in range(0, 300, 2) for k, w, x in ((k, gl, "gl-ES"), (k + 1, nl, "nl" if k % 20 else "pt"))]
+    long = [rng.choice(gl) for _ in range(9000)] + [rng.choice(nl) for _ in range(40)] + [rng.choice(gl) for _ in range(9000)]
+    rows += [(1000, " ".join(long), "gl"), (1001, "zzyx qqwr vvbn kkpl trrw xxcv mmqp llkj ffgh ddsa wwer ttyu iiop aasd ffgg hhjj", None), (1002, None, None), (1003, "", "gl")]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    lexicon = spark.createDataFrame([("gl", w, k + 1) for k, w in enumerate(gl)], "lang string, term string, term_rank int")
+    found, every = defaultdict(list), defaultdict(list)
+    for r in language.languages(df, lexicon, cases_only=False).orderBy("id", "seg_no").collect():
+        every[r.id].append((r.lang, r.first_word, r.end_word))
+    for r in language.languages(df, lexicon).orderBy("id", "seg_no").collect():
+        found[r.id].append((r.lang, r.first_word, r.end_word))
+    assert [x for x, _, _ in every[1000]] == ["gl", "nl", "gl"]
+    assert all(abs(a - b) <= 2 for (_, a, _), b in zip(every[1000], (0, 9000, 9040)))
+    assert 1001 not in found and 1002 not in found and 1003 not in found
+    assert {i for i in found if i < 1000} == {i for i, _, x in rows if x == "pt"}
+    assert [x for x, _, _ in every[1001]] == [language.UNKNOWN]
+
+
 def test_garbled_records(spark):
     rng = random.Random(7)
     words = "mañá cociña ningúen tamén máis está será período número café noite praza avoa tiña señor razón acción nación lugar".split()
