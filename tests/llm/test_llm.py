@@ -304,6 +304,31 @@ def test_garbled_records(spark):
     assert garble.garbled(docu(spark, rows).limit(0)).count() == 0
 
 
+PAGES = [("utf-8", r) for r in ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1251")] + [("cp1252", "cp437"), ("cp1252", "mac_roman"), ("cp437", "cp1252"), ("cp850", "cp1252")]
+
+
+def test_restoration_of_each_code_page(spark):
+    rng = random.Random(17)
+    words = "mañá cociña ningúen tamén máis está será período número café noite praza avoa tiña señor razón acción nación lugar Ñandú árbore Óscar ¿que ilusións avó lingüística".split()
+    clean = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(400)]
+    rows, want = list(enumerate(clean)), {}
+    for k, (written, read) in enumerate(PAGES):
+        for j, t in enumerate(clean[20 * k : 20 * k + 20]):
+            t = t if written != "cp437" else t.replace("Ó", "O")
+            want[1000 * (k + 1) + j] = t
+            rows.append((1000 * (k + 1) + j, garble._read(t.encode(written), read)))
+    twice = clean[210].encode().decode("cp1252", "ignore")
+    rows.append((99_000, twice.encode().decode("cp1252", "ignore")))
+    # more than a twelfth of the characters in one unit, and more odd characters than letters
+    rows.append((99_001, garble._read(("áéíóú" * 8).encode(), "cp1252") + " nación razón"))
+    got = {r.id: r.restored for r in garble.garbled(docu(spark, rows)).collect()}
+    for k, page in enumerate(PAGES):
+        ids = [i for i in want if i // 1000 == k + 1]
+        assert sum(i in got for i in ids) == len(ids), page
+        assert sum(got[i] == want[i] for i in ids) >= 0.9 * len(ids), page
+    assert got[99_001].startswith("áéíóú") and 99_000 in got and not any(i in got for i in range(400))
+
+
 def test_rare_contexts_of_a_source_count(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     other = [f"{a}{b}┤{c}{d}" for a in letters for b in letters for c in letters for d in letters[:12]]

@@ -5,8 +5,13 @@ Records fall into sources by the kind of their odd characters. Over all records
 before, unit, letters after) are counted with map-side combining. The driver reads the letter trigrams only, which the
 alphabet bounds; expectation-maximization against them then learns on the executors, unit by unit over all its contexts,
 which letter each unit stands for, with two more readings that leave text as it is: a sign between words, and the plain
-letter a look-alike stands for. Units whose contexts speak clearly for a letter make up the source's cipher, and applying it
-(``translate`` for single characters, longest first for longer units) restores the text.
+letter a look-alike stands for. Units whose contexts speak clearly for a letter make up the source's cipher; a record that
+holds one is affected.
+
+What is learned unit by unit knows neither capitals nor rare letters, so a record's cipher is then completed as a whole: of
+the swaps between public code pages, all made from the code pages themselves, the one under which the record's letters are
+likeliest among their neighbours replaces all its units, with ``translate`` for single characters and repeatedly for texts
+swapped more than once. Where none fits, the learned letters are put in one by one.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +34,8 @@ from .consistent import LOOKALIKES, mapping
 BLOCK = 50_000
 #: Log-likelihood by which a unit's contexts must favour a letter over text as it is.
 EVIDENCE = 6.0
+#: Occurrences below which a unit is not learned by itself; swaps of whole code pages restore it all the same.
+LEAST_TIMES = 3
 _NATIVE = "áéíóúñçãõâêôàèùîïëûüœÁÉÍÓÚÑÇÃÕÂÊÔÀÈÙÎÏËÛÜŒ"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz" + "áéíóúñçãõâêôàèùîïëûüœ"
 _INDEX = {c: k for k, c in enumerate(_LETTERS)}
@@ -142,7 +150,7 @@ def _count_stage(batches):
             if _HAS_ODD.search(t):
                 own, found, source = _reading(prepare, t)
                 for a, e, p, n in found:
-                    if e - a <= 12 and _LOST not in own[a:e]:
+                    if _LOST not in own[a:e]:
                         seen[source, own[a:e], p, n] += 1
             else:
                 words.update(_WORD.findall(t))
@@ -218,7 +226,7 @@ class Ciphers:
     def learn(self, unit: str, codes: np.ndarray, times: np.ndarray, inside: int) -> np.ndarray | None:
         """``theta`` of a unit from all its contexts, or None where they do not speak clearly for a letter."""
         w = times.astype(float)
-        if inside == 0 or w.sum() < 3:
+        if inside == 0 or w.sum() < LEAST_TIMES:
             return None
         cuts = [slice(k, k + BLOCK) for k in range(0, len(w), BLOCK)]
         kept = self.likelihoods(unit, codes) if len(cuts) == 1 else None
@@ -262,11 +270,88 @@ class Ciphers:
         return _INDEX.get({"ł": "l", "ø": "o", "æ": "a", "ß": "s", "đ": "d", "ð": "d", "þ": "t"}.get(base.lower(), base.lower()))
 
 
-#: Multi-byte shape of a unit: an opening character and what may follow it; seen whether or not its letter was learned.
-_SHAPE = re.compile(
-    r"[ÃãÂâ][\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]|[├┬][^\w\s]|[├┬][ÇüéâäàåçêëèïîìæôöòûùÿíóúñѪº¿]|√[^\w\s]|√[ÇÉÑÖÜáàâäãåçéèêëíìîïñóòôöõúùûü]"
-    r"|[ГР][Ѐ-џ©®°±µ¶·»«\xad\xa0‘’“”‚„…†‡€‰‹›–—™]|[цб][═-╬]|Ă[\x80-\xbfłąşźżˇľŔ‘’“”]"
-)
+#: Code pages that texts were read with by mistake, and those they were written in, beside UTF-8.
+READ_AS = ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1251", "cp1250", "cp866", "koi8_r", "iso8859_15")
+WRITTEN_IN = ("cp1252", "cp437", "cp850", "mac_roman", "iso8859_15")
+_SIGNS = "¿¡ºª«»“”‘’„…–—€"
+
+
+def _read(raw: bytes, page: str) -> str:
+    """Bytes in a code page; those it leaves free are read as controls, as lenient readers do."""
+    out = []
+    for k in raw:
+        try:
+            out.append(bytes([k]).decode(page))
+        except UnicodeDecodeError:
+            out.append(chr(k))
+    return "".join(out)
+
+
+class Swap:
+    """Text written in one code page and read in another: what each character became, and the way back."""
+
+    def __init__(self, written: str, read: str):
+        self.name, self.multi = f"{written} as {read}", written == "utf-8"
+        values = _NATIVE + _SIGNS
+        if self.multi:
+            # all that a second swap can have made
+            values += "".join(c for c in _read(bytes(range(128, 256)), read) if c not in values)
+        self.table: dict[str, str] = {}
+        for c in values:
+            try:
+                key = _read(c.encode(written), read)
+            except UnicodeEncodeError:
+                continue
+            if key != c and (len(key) > 1 or not key.isascii()):
+                self.table.setdefault(key, c)
+        self.single = {ord(k): v for k, v in self.table.items() if len(k) == 1}
+        self.pattern = re.compile("|".join(map(re.escape, sorted(self.table, key=len, reverse=True))))
+
+    def undo(self, text: str, ciphers: Ciphers, prior: float = 0.0, times: int = 4) -> tuple[str, float]:
+        """The text before the swap, and how much likelier its letters are among their neighbours than what stood there.
+
+        ``prior`` speaks for the swap where letters do not; with it signs are replaced too.
+        """
+        gain = 0.0
+        for _ in range(times if self.multi else 1):
+            out, at = [], 0
+            for m in self.pattern.finditer(text):
+                a, b = m.span()
+                before, after = text[max(0, a - 2) : a].lower(), text[b : b + 2].lower()
+                p = "".join(c if c.isalpha() else " " for c in before).rpartition(" ")[2]
+                n = "".join(c if c.isalpha() else " " for c in after).partition(" ")[0]
+                unit, letter = m[0], self.table[m[0]]
+                k = _INDEX.get(letter.lower())
+                x = ciphers.likelihood(unit, p, n)
+                same = x[_EDGE] if unit.lower() not in _INDEX else max(x[_EDGE], x[_INDEX[unit.lower()]])
+                own = x[k] if k is not None else x[_EDGE]
+                step = float(np.clip(np.log(own + 1e-12) - np.log(same + 1e-12), -4, 3))
+                if self.multi:
+                    step = max(step, 0.5)
+                elif (k is None or not (p or n)) and not prior:
+                    continue
+                elif unit in _NATIVE and step + prior <= 0 and not (unit.isupper() and (text[a - 1 : a] + text[b : b + 1]).islower() and prior):
+                    # letters of the language stay unless another one in their place is likelier
+                    continue
+                gain += step
+                out += [text[at:a], letter]
+                at = b
+            if not out:
+                break
+            text = "".join(out) + text[at:]
+        return text, gain
+
+
+@lru_cache(maxsize=1)
+def swaps() -> tuple[Swap, ...]:
+    pairs = [("utf-8", r) for r in READ_AS] + [(w, r) for w in WRITTEN_IN for r in READ_AS if w != r]
+    return tuple(x for x in (Swap(w, r) for w, r in pairs) if x.table)
+
+
+@lru_cache(maxsize=1)
+def _several_bytes() -> re.Pattern:
+    """Any character of several bytes as any of the code pages shows it."""
+    return re.compile("|".join(map(re.escape, sorted({k for s in swaps() if s.multi for k, v in s.table.items() if len(k) > 1}, key=len, reverse=True))))
 
 
 class Finder:
@@ -281,11 +366,29 @@ class Finder:
         if source != "C" and any("\u0400" <= c <= "\u052f" for c in text):
             other = self._look_alikes_as_cipher(text)
             if other is not None:
-                return True, other
+                return True, self._swapped(text) or other
         out, hits = self._apply(own, found, source)
-        if hits:
-            return True, out
-        return _LOST in own or any(_SHAPE.search(own[a:b]) for a, b, _, _ in found), text
+        if not hits and not any(_several_bytes().search(own[a:b]) for a, b, _, _ in found):
+            if _LOST in own:
+                return True, text
+            # too dense to be letters of one text, unless a swap makes it one
+            dense = sum(b - a for a, b, _, _ in contexts(own)) * 10 > 4 * len(own)
+            other = self._swapped(text, EVIDENCE) if dense else None
+            return other is not None, text if other is None else other
+        return True, self._swapped(text) or out
+
+    def _swapped(self, text: str, least: float = 0.0) -> str | None:
+        """The text under the swap that gains most, less what it leaves odd; None where none gains more than ``least``."""
+        best, most = None, least
+        for swap in swaps():
+            if swap.pattern.search(text):
+                out, gain = swap.undo(text, self.ciphers)
+                score = gain - 2.0 * len(contexts(self.prepare(out)))
+                if score > most:
+                    best, most = (swap, out), score
+        if best is None:
+            return None
+        return best[0].undo(text, self.ciphers, prior=2.0)[0] if most > EVIDENCE / 2 else best[1]
 
     def _apply(self, own: str, found, source: str) -> tuple[str, int]:
         pieces, at, hits = [], 0, 0
