@@ -60,7 +60,9 @@ def test_fields_in_any_order_keep_their_values(spark):
     assert got == {(1, 2)}
 
 
-def test_near_pairs_against_brute_force(spark):
+@pytest.mark.parametrize("hot", [near.HOT_BLOCK, 2])
+def test_near_pairs_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(near, "HOT_BLOCK", hot)
     rng = random.Random(4)
     vocab = [f"w{k}" for k in range(300)]
     rows, k = [], 0

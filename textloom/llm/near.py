@@ -3,9 +3,10 @@
 1. Each record becomes the set of its distinct lower-case words (64-bit hashes). Equal sets collapse into one
    representative before anything is joined.
 2. Index-level skipping. Words are ordered from rare to frequent; only the head of a set is posted. Posting lists are cut
-   into blocks by word and size band, so a probe never meets a block whose sizes cannot reach the threshold; inside a
-   block a posting is skipped by its position (what is left after it is too short) and by a 128-bit parity sketch, whose
-   Hamming distance is a lower bound of the symmetric difference.
+   into blocks by word, size band and position (doubling stretches of places in the set). A probe goes only to blocks whose
+   sizes and places can still reach the threshold together with its own size and place, so it never meets the others; inside
+   a block a posting is skipped by the exact bound and by a 128-bit parity sketch, whose Hamming distance is a lower bound
+   of the symmetric difference. Blocks of very frequent words are dealt to salts, so that no task holds a whole one.
 3. Answer-level derivation. Each candidate's set is compared once with that of its smallest candidate neighbour, its
    leader. The overlap of two sets with one leader then follows exactly from their two small differences to it; only pairs
    with different leaders read whole sets.
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from textloom.plans.materialize import materialize
 
 from .consistent import consistent_text
+from .pairs import crossed
 
 #: Most words whose frequency is sent to the tasks (16 bytes each); the rest counts as rare and is ordered by its hash.
 RANKED_WORDS = 200_000
@@ -34,6 +36,8 @@ RANKED_WORDS = 200_000
 BROADCAST_IDS = 500_000
 
 
+#: Postings of a block from which it is dealt to several tasks.
+HOT_BLOCK = 20_000
 #: Words whose hash a Python worker remembers (about 100 bytes each).
 REMEMBERED_WORDS = 500_000
 
@@ -141,18 +145,28 @@ def near_classes(docu: DataFrame, id_col: str = "id", text_col: str = "text", th
     reps = heads.groupBy("set_key").agg(F.min(F.struct("id", "n", "p0", "p1", "head")).alias("r")).select("set_key", "r.*")
     members = heads.select("id", "set_key").join(reps.select("set_key", F.col("id").alias("rep")), "set_key").select("id", "rep").distinct()
 
-    t = F.lit(threshold)
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(threshold)) + 1e-9).cast("int")
-    probe = reps.select("id", "n", "p0", "p1", "head", F.explode(F.array(band, band - 1)).alias("band"))
-    # a probe reaches down to sizes of threshold * n: its own band and the one below
-    probe = probe.select(F.col("id").alias("id_x"), F.col("n").alias("n_x"), F.col("p0").alias("p0_x"), F.col("p1").alias("p1_x"), "band", F.posexplode("head").alias("i", "word"))
-    probe = probe.select("id_x", "n_x", "p0_x", "p1_x", "i", F.xxhash64("word", "band").alias("block"))
+    t, c = F.lit(threshold), threshold / (1 + threshold)
+    step = -math.log(threshold)
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + 1e-9).cast("int")
+    stretch = lambda place: F.floor(F.log2(place + 1.0) + 1e-9).cast("int")  # noqa: E731 - 0, 1-2, 3-6, 7-14, ...
+    probe = reps.select(F.col("id").alias("id_x"), F.col("n").alias("n_x"), F.col("p0").alias("p0_x"), F.col("p1").alias("p1_x"), band.alias("own"), F.posexplode("head").alias("i", "word"))
+    # a probe reaches down to sizes of threshold * n: its own band and the one below. Of a band it needs the sizes at which
+    # what is left after its own place suffices, and of those sizes the places after which enough is left
+    probe = probe.select("*", F.explode(F.array("own", F.col("own") - 1)).alias("band"))
+    n_x, top = F.col("n_x"), F.ceil(F.exp((F.col("band") + 1) * F.lit(step)) - 1e-9) - 1
+    largest = F.least(n_x.cast("double"), top.cast("double"), F.floor((n_x - F.col("i")) / F.lit(c) - n_x + 1e-9))
+    smallest = F.greatest(F.ceil(n_x * t - 1e-9), F.ceil(F.exp(F.col("band") * F.lit(step)) - 1e-9))
+    last = F.floor(largest * F.lit(1 - c) - n_x * F.lit(c) + 1e-9)
+    probe = probe.select("*", largest.alias("largest"), smallest.alias("smallest"), last.alias("last")).filter("largest >= smallest and last >= 0")
+    probe = probe.select("id_x", "n_x", "p0_x", "p1_x", "i", "word", "band", F.explode(F.sequence(F.lit(0), stretch(F.col("last")))).alias("stretch"))
+    probe = probe.select("id_x", "n_x", "p0_x", "p1_x", "i", F.xxhash64("word", "band", "stretch").alias("block"))
     # the smaller set of a pair needs only a shorter head
     short = F.col("n") - F.ceil(F.col("n") * F.lit(2 * threshold / (1 + threshold)) - 1e-9) + 1
     index = reps.select(F.col("id").alias("id_y"), F.col("n").alias("n_y"), F.col("p0").alias("p0_y"), F.col("p1").alias("p1_y"), band.alias("band"), F.posexplode(F.slice("head", 1, short.cast("int"))).alias("j", "word"))
-    index = index.select("id_y", "n_y", "p0_y", "p1_y", "j", F.xxhash64("word", "band").alias("block"))
+    index = index.select("id_y", "n_y", "p0_y", "p1_y", "j", F.xxhash64("word", "band", stretch(F.col("j"))).alias("block"))
+    probe, index, keys = _dealt(probe, index)
     need = _need(F.col("n_x"), F.col("n_y"), threshold)
-    hits = probe.join(index, "block").filter(
+    hits = probe.join(index, keys).filter(
         ((F.col("n_y") < F.col("n_x")) | ((F.col("n_y") == F.col("n_x")) & (F.col("id_y") < F.col("id_x"))))
         & (F.col("n_y") >= F.col("n_x") * t - 1e-9)
         & (F.least(F.col("n_x") - F.col("i"), F.col("n_y") - F.col("j")) >= need)
@@ -163,6 +177,23 @@ def near_classes(docu: DataFrame, id_col: str = "id", text_col: str = "text", th
     return members, _verify(spark, sets, cand, threshold)
 
 
+def _dealt(probe: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with the keys to join on: postings of hot blocks dealt to salts, their probes sent to each.
+
+    There are at most ``postings / HOT_BLOCK`` hot blocks; they are broadcast while few, else joined.
+    """
+    hot = index.groupBy("block").agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT_BLOCK)
+    hot = materialize(hot.select("block", F.ceil(F.col("_n") / F.lit(HOT_BLOCK)).cast("int").alias("_salts")), "hot-blocks")
+    many = hot.count()
+    if many == 0:
+        return probe, index, ["block"]
+    hot = F.broadcast(hot) if many <= BROADCAST_IDS else hot
+    salts = F.coalesce("_salts", F.lit(1))
+    index = index.join(hot, "block", "left").withColumn("salt", F.pmod(F.xxhash64("id_y"), salts).cast("int")).drop("_salts")
+    probe = probe.join(hot, "block", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return probe, index, ["block", "salt"]
+
+
 def _verify(spark, sets: DataFrame, cand: DataFrame, t: float) -> DataFrame:
     lead = cand.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("leader"))
     ids = cand.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(lead, "id", "left").select("id", F.coalesce("leader", "id").alias("leader"))
@@ -196,11 +227,16 @@ def _verify(spark, sets: DataFrame, cand: DataFrame, t: float) -> DataFrame:
 def near_pairs(docu: DataFrame, id_col: str = "id", text_col: str = "text", threshold: float = 0.8, min_words: int = 15) -> DataFrame:
     """All pairs of records, ``id_a < id_b``, at or above the threshold; equal sets are pairs too."""
     members, links = near_classes(docu, id_col, text_col, threshold, min_words)
-    members = materialize(members, "near-members")
-    left = members.select(F.col("rep").alias("a"), F.col("id").alias("x"))
-    right = members.select(F.col("rep").alias("b"), F.col("id").alias("y"))
-    across = links.select("a", "b").join(left, "a").join(right, "b").select("x", "y")
-    same = left.join(right, F.col("a") == F.col("b")).filter("x < y").select("x", "y")
+    members, links = materialize(members, "near-members"), materialize(links.select("a", "b"), "near-links")
+    linked = links.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    ends = members.join(linked, "rep", "left_semi")
+    left = ends.select(F.col("rep").alias("a"), F.col("id").alias("x"))
+    right = ends.select(F.col("rep").alias("b"), F.col("id").alias("y"))
+    # members of a large class are dealt to salts; only the pairs themselves grow with its square
+    across = crossed(crossed(left, links, ["a"], "x"), right, ["b"], "x").select("x", "y")
+    several = members.groupBy("rep").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("rep").alias("a"))
+    copies = members.select(F.col("rep").alias("a"), F.col("id").alias("x")).join(several, "a", "left_semi")
+    same = crossed(copies, copies.withColumnRenamed("x", "y"), ["a"], "x").filter("x < y").select("x", "y")
     return across.unionByName(same).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
