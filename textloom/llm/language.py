@@ -72,8 +72,8 @@ def label_code(label: str | None) -> str | None:
 
 #: A name: a capital letter and small ones right behind another word.
 _NAME = re.compile(r"(?<=[^\W\d_] )[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+")
-#: A run of characters, some of which no language here writes: a wrong encoding, or another script.
-_FOREIGN = re.compile(r"\S*(?:[^\x00-\x7fÀ-ÖØ-öø-ž«»“”„‘’‚…–—¿¡ªº·\s]|[ÃÂ][¡-¿])\S*")
+#: What no language here writes: a wrong encoding, or another script; the whole run up to the blanks around it is masked.
+_FOREIGN = re.compile(r"[^\x00-\x7fÀ-ÖØ-öø-ž«»“”„‘’‚…–—¿¡ªº·\s]|[ÃÂ][¡-¿]")
 _WORD_OR_MASK = re.compile(r"[^\W\d_]+|\x02")
 
 
@@ -84,13 +84,13 @@ def words_of(text: str) -> list[str]:
     """
     if not text.isascii():
         text = consistent_text(text)
-        masked = _FOREIGN.sub(" \x02 ", text)
-    else:
-        masked = text
-    words = _WORD_OR_MASK.findall(_NAME.sub("\x02", masked))
+    masked = text
+    if not text.isascii() and _FOREIGN.search(text):
+        masked = " ".join("\x02" if not w.isascii() and _FOREIGN.search(w) else w for w in text.split())
+    words = _WORD_OR_MASK.findall(_NAME.sub("\x02", masked).lower())
     if words.count("\x02") * 2 > len(words):
         return _WORD.findall(text.lower())
-    return ["" if w == "\x02" else w.lower() for w in words]
+    return ["" if w == "\x02" else w for w in words]
 
 
 def _plain(word: str) -> str:
