@@ -16,6 +16,7 @@ swapped more than once. Where none fits, the learned letters are put in one by o
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -36,6 +37,8 @@ BLOCK = 50_000
 EVIDENCE = 6.0
 #: Occurrences below which a unit is not learned by itself; swaps of whole code pages restore it all the same.
 LEAST_TIMES = 3
+#: Steps of likelihood that a Python worker remembers (about 200 bytes each).
+REMEMBERED_STEPS = 100_000
 _NATIVE = "áéíóúñçãõâêôàèùîïëûüœÁÉÍÓÚÑÇÃÕÂÊÔÀÈÙÎÏËÛÜŒ"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz" + "áéíóúñçãõâêôàèùîïëûüœ"
 _INDEX = {c: k for k, c in enumerate(_LETTERS)}
@@ -198,6 +201,7 @@ class Ciphers:
         self.letter = one / one.sum()
         self.accented = np.array([not c.isascii() for c in _LETTERS])
         self.theta: dict[str, dict[str, np.ndarray]] = {}
+        self.steps: dict[tuple, float] = {}
 
     def likelihood(self, unit: str, p: str, n: str) -> np.ndarray:
         """Of the letters around a unit under each letter, and last under the text as it is."""
@@ -210,6 +214,19 @@ class Ciphers:
             sign = max(sign, under[plain])
         return np.append(under * self.accented, sign)
 
+    def step(self, unit: str, letter: str, p: str, n: str) -> float:
+        """How much likelier a letter is in the place of a unit than the unit itself, as a bounded logarithm; remembered."""
+        key = (unit, letter, p, n)
+        found = self.steps.get(key)
+        if found is None:
+            if len(self.steps) >= REMEMBERED_STEPS:
+                self.steps.clear()
+            x = self.likelihood(unit, p, n)
+            same = x[_EDGE] if unit.lower() not in _INDEX else max(x[_EDGE], x[_INDEX[unit.lower()]])
+            own = x[_INDEX[letter]] if letter in _INDEX else x[_EDGE]
+            found = self.steps[key] = min(3.0, max(-4.0, math.log(own + 1e-12) - math.log(same + 1e-12)))
+        return found
+
     def likelihoods(self, unit: str, codes: np.ndarray) -> np.ndarray:
         """:meth:`likelihood` of many contexts, one row each."""
         rest, n2 = np.divmod(codes, _SIZE)
@@ -322,10 +339,7 @@ class Swap:
                 n = "".join(c if c.isalpha() else " " for c in after).partition(" ")[0]
                 unit, letter = m[0], self.table[m[0]]
                 k = _INDEX.get(letter.lower())
-                x = ciphers.likelihood(unit, p, n)
-                same = x[_EDGE] if unit.lower() not in _INDEX else max(x[_EDGE], x[_INDEX[unit.lower()]])
-                own = x[k] if k is not None else x[_EDGE]
-                step = float(np.clip(np.log(own + 1e-12) - np.log(same + 1e-12), -4, 3))
+                step = ciphers.step(unit, letter.lower(), p, n)
                 if self.multi:
                     step = max(step, 0.5)
                 elif (k is None or not (p or n)) and not prior:
@@ -379,13 +393,23 @@ class Finder:
 
     def _swapped(self, text: str, least: float = 0.0) -> str | None:
         """The text under the swap that gains most, less what it leaves odd; None where none gains more than ``least``."""
-        best, most = None, least
+        own = self.prepare(text)
+        units = "\n".join(own[a:b] for a, b, _, _ in contexts(own))
+        # swaps that explain the units about as far as any does, once per way to read them
+        reach, ways = {}, {}
         for swap in swaps():
-            if swap.pattern.search(text):
-                out, gain = swap.undo(text, self.ciphers)
-                score = gain - 2.0 * len(contexts(self.prepare(out)))
-                if score > most:
-                    best, most = (swap, out), score
+            hits = swap.pattern.findall(units)
+            if hits:
+                reach[swap] = sum(map(len, hits))
+                ways[swap] = frozenset((h, swap.table[h]) for h in hits)
+        wide = 0.8 * max(reach.values(), default=0)
+        chosen = {ways[swap]: swap for swap in reversed(list(reach)) if reach[swap] >= wide}
+        best, most = None, least
+        for swap in chosen.values():
+            out, gain = swap.undo(text, self.ciphers)
+            score = gain - 2.0 * len(contexts(self.prepare(out)))
+            if score > most:
+                best, most = (swap, out), score
         if best is None:
             return None
         return best[0].undo(text, self.ciphers, prior=2.0)[0] if most > EVIDENCE / 2 else best[1]
