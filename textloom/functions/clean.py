@@ -10,6 +10,7 @@ import re
 import unicodedata
 
 import pandas as pd
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -40,6 +41,29 @@ def printable(c: Column) -> Column:
     return F.regexp_replace(c, NON_PRINTABLE, "")
 
 
+# What is left of letters after a wrong decoding and the letters, in the order of replacement.
+LATIN1 = [
+    ("Ã¡", "á"), ("Ã©", "é"), ("Ã ", "í"), ("Ã³", "ó"), ("Ãº", "ú"), ("Ã±", "ñ"), ("Ã§", "ç"), ("Ã£", "ã"), ("Ãµ", "õ"), ("áº½", "ẽ"),
+    ("Ã<81>", "Á"), ("Ã<89>", "É"), ("Æ'", "ƒ"), ("Å'", "Œ"), ("Ëœ", "˜"), ('â"¢', "™"), ("Å¡", "š"), ('Å"', "œ"), ("Â¥", "¥"),
+    ("Ã…", "Å"), ("ÃŒ", "Ì"), ("ÃŽ", "Î"), ("Ã'", "Ò"), ("Ãœ", "Ü"), ("Ã¥", "å"),
+]
+#: How many of them the alternative fixer knows.
+LATIN1_SHORT = 12
+
+
+def latin1_letters(c: Column, most: int = len(LATIN1)) -> Column:
+    """Letters in place of what a wrong decoding left of them; only texts that hold an opening character are touched."""
+    out = c
+    for a, b in LATIN1[:most]:
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return F.when(c.rlike("[ÃáÆÅËâÂ]"), out).otherwise(c)
+
+
+def alternative_fix(c: Column) -> Column:
+    """The alternative fixer: controls and stray characters vanish, then the commonest broken letters are put right."""
+    return latin1_letters(drop_controls(c), LATIN1_SHORT)
+
+
 def drop_controls(c: Column) -> Column:
     """Alternative fixer's first step: C0 and C1 controls, non-characters and replacement marks vanish."""
     return F.regexp_replace(printable(F.regexp_replace(c, r"[\x01-\x1f\x7f-\x9f]", "")), r"[\x{fffd}\x{fffe}\x{ffff}\x{feff}\x{fffc}]", "")
@@ -82,8 +106,9 @@ def keep_categories(c: Column, categories: str = "", characters: str = "", remov
 def percent_table(table: str = "utf8") -> list[tuple[str, str]]:
     """Percent codes and their characters in the order in which they are replaced, made from the code pages themselves.
 
-    ``ascii``: printable ASCII; ``utf8``: two- and three-byte codes of the code page's upper half; ``windows``: its single
-    bytes; ``control``: control bytes, which become blanks.
+    ``ascii``: printable ASCII; ``utf8``: two- and three-byte codes of the code page's upper half, and after them the first two
+    bytes of three alone, which stand for the last of them; ``windows``: its single bytes; ``control``: control bytes, which
+    become blanks.
     """
     if table == "ascii":
         return [(f"%{b:02X}", chr(b)) for b in range(0x20, 0x7F)]
@@ -92,7 +117,8 @@ def percent_table(table: str = "utf8") -> list[tuple[str, str]]:
     upper = [(b, bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0x100)]
     if table == "windows":
         return [(f"%{b:02X}", ch) for b, ch in upper if ch]
-    return [("".join(f"%{x:02X}" for x in ch.encode()), ch) for _, ch in upper if ch]
+    codes = [("".join(f"%{x:02X}" for x in ch.encode()), ch) for _, ch in upper if ch]
+    return codes + [("%E2%80", "›"), ("%E2%84", "™")]
 
 
 def _percent_steps():
@@ -186,11 +212,54 @@ def fix_decoding(c: Column) -> Column:
     return F.coalesce(udf(F.when(c.rlike(_MAY_CHANGE), c)), c)
 
 
-def encode_fix(c: Column, categories: str = "", characters: str = "", remove: str = "", emojis: bool = False, json_escaped: bool = False) -> Column:
-    """The whole encoding fixer, in order: decoding repair, hard blanks, non-printables, percent codes, replacement marks,
-    control pictures, category filter, blanks. The result has no line ends."""
-    c = fix_decoding(quotes_straight(c, json_escaped))
-    c = printable(hard_blanks(F.regexp_replace(c, r"[\n\r\t]", " ")))
-    c = drop_replacement(percent_decode(c))
+def invalid_bytes(raw: Column) -> Column:
+    """Text of a binary column without the bytes that are no UTF-8."""
+    udf = F.pandas_udf(lambda s: s.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore"), StringType())
+    return F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string")).otherwise(udf(raw))
+
+
+def remove_tags(c: Column) -> Column:
+    """HTML comments, scripts, styles and tags become blanks, then entities are read."""
+    bare = F.regexp_replace(c, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|</?[a-z][^<>]*>", " ")
+    udf = F.pandas_udf(lambda s: s.map(html.unescape, na_action="ignore"), StringType())
+    return F.coalesce(udf(F.when(bare.contains("&"), bare)), bare)
+
+
+def delimiter(escaped: str) -> str:
+    r"""A delimiter as it is typed on a command line: ``\n`` is a line feed, ``\t`` a tab, ``\u00e1`` a letter."""
+    return re.sub(r"\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|[abfnrtv0'\"\\])", lambda m: m[0].encode().decode("unicode_escape"), escaped)
+
+
+def encode_fix(c: Column, categories: str = "", characters: str = "", remove: str = "", emojis: bool = False, json_escaped: bool = False, keep_breaks: bool = True) -> Column:
+    """The whole encoding fixer, in order: decoding repair, hard blanks, non-printables, broken letters, percent codes,
+    replacement marks, control pictures, category filter, blanks. The result has no line ends.
+
+    Line ends and tabs inside a text become blanks; without ``keep_breaks`` they vanish with the other non-printables, as they
+    do where every line is fixed by itself. Repair and percent codes run in one Arrow pass, for the texts that need either.
+    """
+    c = quotes_straight(c, json_escaped)
+    if keep_breaks:
+        # they must outlive the Arrow pass, which ends where line ends would go
+        c = F.regexp_replace(c, r"[\n\r\t]", " ")
+    udf = F.pandas_udf(_repair_series, StringType())
+    c = F.coalesce(udf(F.when(c.rlike(_MAY_CHANGE + "|%[0-9A-F]{2}|[ÃáÆÅËâÂ]"), c)), printable(hard_blanks(c)))
+    c = drop_replacement(c)
     c = keep_categories(control_pictures(c), categories, characters, remove, emojis) if categories or characters or remove else control_pictures(c)
     return strip(F.regexp_replace(c, f"[{WS}]+", " "))
+
+
+_PRINTABLE = regex.compile(r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}]|[\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000]")
+
+
+def repair_text(text: str, steps=None) -> str:
+    """Decoding repair, hard blanks, non-printables, broken letters and percent codes of one text."""
+    text = _PRINTABLE.sub("", fix_decoding_text(text).replace("\xa0", " "))
+    for a, b in LATIN1:
+        if a in text:
+            text = text.replace(a, b)
+    return percent_decode_text(text, steps)
+
+
+def _repair_series(s: pd.Series) -> pd.Series:
+    steps = _percent_steps()
+    return s.map(lambda t: repair_text(t, steps), na_action="ignore")

@@ -12,16 +12,16 @@ def with_status(docs: DataFrame, order: str | Column, text: str = "text", thresh
     """Adds ``status``: ``short`` (fewer than ``threshold`` words, or a null text), ``kept`` or ``duplicate``.
 
     The first document of each text, by ``order``, is kept; documents that tie in ``order`` with it are kept with it.
-    Grouping is an aggregation with map-side combining, not a window, so a text that makes up a third of the corpus costs
-    one row per task; the smallest order value is joined back.
+    Grouping is an aggregation with map-side combining, so a text that makes up a third of the corpus costs one row per task.
+    The smallest order value of each text is joined back by order and text, of which the order is spread evenly: neither a
+    frequent text nor the short documents meet in one task.
     """
     o = F.col(order) if isinstance(order, str) else order
     h = key if key is not None else F.md5(text)
-    # a short document has a null key: it forms one group that nothing joins
     base = docs.withColumn("_order", o).withColumn("_key", F.when(word_count(F.col(text)) >= threshold, h))
-    first = base.groupBy("_key").agg(F.min("_order").alias("_first"))
-    joined = base.join(first, "_key", "left")
-    status = F.when(F.col("_key").isNull(), "short").when(F.col("_order") == F.col("_first"), "kept").otherwise("duplicate")
+    first = base.filter("_key is not null").groupBy("_key").agg(F.min("_order").alias("_order")).withColumn("_first", F.lit(True))
+    joined = base.join(first, ["_order", "_key"], "left")
+    status = F.when(F.col("_key").isNull(), "short").when(F.col("_first"), "kept").otherwise("duplicate")
     return joined.withColumn("status", status).drop("_order", "_key", "_first")
 
 

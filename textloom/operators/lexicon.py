@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom.functions.words import language_tokens, lines_ended, same_language, strip
 
+from .skew import dealt, small
+
 # Characters that make a lexicon entry unusable.
 UNUSABLE = "[.,;:«»\"'&%+=$()<>!¡?¿\\[\\]/*_{}|@#0-9-]"
 #: Lexicon rows up to which lookups are broadcast; larger lexicons are joined with a shuffle.
@@ -40,56 +44,74 @@ def term_ranks(lexicon: DataFrame) -> DataFrame:
     return lexicon.filter("term is not null").groupBy("lang", "term").agg(F.max("term_rank").alias("term_rank"))
 
 
-def lexicon_from_files(lines: DataFrame) -> DataFrame:
-    """``lang, term, term_rank`` from ``path, pos, value``: the file's stem is the language, the line number the rank."""
+def lexicon_from_files(lines: DataFrame, varieties: bool = False) -> DataFrame:
+    """``lang, term, term_rank`` from ``path, pos, value``: the file's stem is the language, the line number the rank.
+
+    Stems of varieties have a region behind the language (``es-AR``, ``pt_BR``); without ``varieties`` only files of plain
+    languages count, with it only those of varieties.
+    """
     lang = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
+    lines = lines.filter(lang.rlike("[-_]") == F.lit(varieties))
     w = W.partitionBy("path").orderBy("pos")
     return lines.select(lang.alias("lang"), F.col("value").alias("term"), F.row_number().over(w).alias("term_rank"))
 
 
-def _dimension(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def last_rank(lexicon: DataFrame, lang: str | None = None) -> int:
+    """Entries of the lexicon of ``lang``, else of the last language in order, and one: what a first term is measured from."""
+    rows = lexicon.filter("term is not null")
+    last = lang or rows.agg(F.max("lang")).first()[0]
+    return rows.filter(F.col("lang") == last).count() + 1
+
 
+def _weights(lexicon: DataFrame, suffixes: DataFrame, top: int) -> tuple[DataFrame, Callable, list[str]]:
+    """``(terms, tails, languages)``: ``token, ws`` of the lexicon, a function from a token and the languages that hold it to
+    its weights by suffix, and the languages that weights can name. The suffix table is a hand-written one, read whole."""
+    ranks = term_ranks(lexicon)
+    terms = ranks.groupBy(F.col("term").alias("token")).agg(F.collect_list(F.struct("lang", (F.lit(float(top)) - F.col("term_rank")).alias("w"), F.lit(1).alias("hit"))).alias("ws"))
+    languages = sorted(r[0] for r in ranks.select("lang").distinct().collect())
+    ends = suffixes.select(strip(F.col("suffix")).alias("suffix"), "lang").filter(F.col("lang").isin(*languages) & (F.col("suffix") != "")).distinct().collect() if languages else []
+
+    def tails(token: Column, held: Column) -> Column:
+        """Half of ``top`` for each suffix of the token in each language that does not hold the token."""
+        found = [F.when(token.endswith(e.suffix) & ~F.array_contains(held, e.lang), F.struct(F.lit(e.lang).alias("lang"), F.lit(top / 2).alias("w"), F.lit(0).alias("hit"))) for e in ends]
+        return F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array().cast("array<struct<lang:string,w:double,hit:int>>")
+
+    return terms, tails, languages
 
-def language_scores(tokens: DataFrame, keys: list[str], lexicon: DataFrame, suffixes: DataFrame, top: int) -> DataFrame:
-    """``keys, lang, weight, hits`` from ``keys, token, n``.
+
+def best_language(tokens: DataFrame, keys: list[str], lexicon: DataFrame, suffixes: DataFrame, top: int) -> DataFrame:
+    """``keys, lang`` from ``keys, token``: the language of most weight, of keys with at least one lexicon hit.
 
     A lexicon term weighs ``top`` minus its rank; where a language does not hold the token, each of its suffixes that ends
-    the token weighs half of ``top``. Suffixes of languages without a lexicon never count. Tokens are weighed once and
-    multiplied by their number; suffixes are met by an equi-join on the token's possible endings, not by comparing all.
+    the token weighs half of ``top``. Suffixes of languages without a lexicon never count; ties go to the first language by
+    name. A lexicon of at most ``BROADCAST_ROWS`` terms is broadcast, and one aggregation per key, a sum per language, is all
+    that is shuffled. A larger one is joined by token with frequent tokens dealt to salts.
     """
-    ranks = term_ranks(lexicon)
-    loaded = ranks.select("lang").distinct()
-    ends = suffixes.select(strip(F.col("suffix")).alias("suffix"), "lang").filter("suffix <> ''").distinct().join(F.broadcast(loaded), "lang", "left_semi")
-    longest = ends.agg(F.max(F.length("suffix"))).first()[0] or 0
-    words = tokens.select("token").distinct()
-    hit = words.join(_dimension(ranks.withColumnRenamed("term", "token")), "token").select("token", "lang", (F.lit(float(top)) - F.col("term_rank")).alias("w"), F.lit(1).alias("hit"))
-    if longest:
-        tails = F.transform(F.sequence(F.lit(1), F.least(F.length("token"), F.lit(longest))), lambda k: F.right("token", k))
-        tail = words.filter("token <> ''").select("token", F.explode(tails).alias("suffix"))
-        miss = tail.join(F.broadcast(ends), "suffix").groupBy("token", "lang").agg((F.count("*") * F.lit(top / 2)).alias("w"))
-        miss = miss.join(_dimension(ranks.select(F.col("term").alias("token"), "lang")), ["token", "lang"], "left_anti").select("token", "lang", "w", F.lit(0).alias("hit"))
-        hit = hit.unionByName(miss)
-    per_token = hit.groupBy("token").agg(F.collect_list(F.struct("lang", "w", "hit")).alias("ws"))
-    scored = tokens.join(per_token, "token").select(*keys, "n", F.explode("ws").alias("x"))
-    return scored.groupBy(*keys, F.col("x.lang").alias("lang")).agg(
-        F.sum(F.col("n") * F.col("x.w")).alias("weight"), F.sum(F.col("n") * F.col("x.hit")).alias("hits")
-    )
-
-
-def _best(scores: DataFrame, keys: list[str]) -> DataFrame:
-    """Heaviest language of keys with at least one lexicon hit; ties by the language's name."""
-    return scores.groupBy(*keys).agg(F.min_by("lang", F.struct(-F.col("weight"), "lang")).alias("lang"), F.sum("hits").alias("hits")).filter("hits > 0").select(*keys, "lang")
+    terms, tails, languages = _weights(lexicon, suffixes, top)
+    if not languages:
+        return tokens.select(*keys, F.lit(None).cast("string").alias("lang")).limit(0)
+    if small(terms, BROADCAST_ROWS):
+        weighed = tokens.join(F.broadcast(terms), "token", "left")
+    else:
+        a, b, on = dealt(tokens, terms, ["token"], keys[0])
+        weighed = a.join(b, on, "left")
+    ws = F.coalesce("ws", F.array().cast("array<struct<lang:string,w:double,hit:int>>"))
+    weighed = weighed.select(*keys, F.inline(F.concat(ws, tails(F.col("token"), F.coalesce(F.col("ws.lang"), F.array().cast("array<string>"))))))
+    sums = [F.sum(F.when(F.col("lang") == x, F.col("w"))).alias(f"w{k}") for k, x in enumerate(languages)]
+    scored = weighed.groupBy(*keys).agg(F.sum("hit").alias("hits"), *sums).filter("hits > 0")
+    # least of (-weight, name)
+    best = F.array_min(F.filter(F.array(*(F.when(F.col(f"w{k}").isNotNull(), F.struct((-F.col(f"w{k}")).alias("w"), F.lit(x).alias("lang"))) for k, x in enumerate(languages))), lambda x: x.isNotNull()))
+    return scored.select(*keys, best["lang"].alias("lang"))
 
 
 def tag_lines(docs: DataFrame, id_col: str, lexicon: DataFrame, suffixes: DataFrame, top: int, text: str = "text") -> DataFrame:
     """``id, line_no, line, lang`` for every line of every text; lines without a lexicon term are ``en``, empty ones ``gl``.
 
-    Null texts have no lines. Ties go to the language that comes first in the alphabet.
+    Null texts have no lines. Ties go to the language that comes first in the alphabet. Ids are taken as unique.
     """
     lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(lines_ended(F.col(text)), "\n")).alias("line_no", "line"))
-    tokens = lines.select("id", "line_no", F.explode(language_tokens(F.col("line"))).alias("token")).groupBy("id", "line_no", "token").agg(F.count("*").alias("n"))
-    best = _best(language_scores(tokens, ["id", "line_no"], lexicon, suffixes, top), ["id", "line_no"])
+    tokens = lines.select("id", "line_no", F.explode(language_tokens(F.col("line"))).alias("token"))
+    best = best_language(tokens, ["id", "line_no"], lexicon, suffixes, top)
     fallback = F.when(strip(F.col("line")) == "", "gl").otherwise("en")
     return lines.join(best, ["id", "line_no"], "left").select("id", F.col("line_no").cast("long").alias("line_no"), "line", F.coalesce("lang", fallback).alias("lang"))
 
@@ -97,8 +119,8 @@ def tag_lines(docs: DataFrame, id_col: str, lexicon: DataFrame, suffixes: DataFr
 def tag_documents(docs: DataFrame, id_col: str, lexicon: DataFrame, suffixes: DataFrame, top: int, text: str = "text") -> DataFrame:
     """``id, lang`` of whole documents; ``es`` where no term is in a lexicon, also for null texts."""
     picked = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    tokens = picked.select("id", F.explode(language_tokens(F.col("text"), document=True)).alias("token")).groupBy("id", "token").agg(F.count("*").alias("n"))
-    best = _best(language_scores(tokens, ["id"], lexicon, suffixes, top), ["id"])
+    tokens = picked.select("id", F.explode(language_tokens(F.col("text"), document=True)).alias("token"))
+    best = best_language(tokens, ["id"], lexicon, suffixes, top)
     return picked.select("id").join(best, "id", "left").select("id", F.coalesce("lang", F.lit("es")).alias("lang"))
 
 

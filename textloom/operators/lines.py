@@ -41,7 +41,7 @@ def newline_documents(lines: DataFrame, file: str = "source_file", pos: str = "p
 def paragraphs(docs: DataFrame, id_col: str, text: str = "text", limit: int | None = None) -> DataFrame:
     """``id, par_no, text`` of the parts between empty lines, numbered from 1; with ``limit`` the first ones only."""
     parts = F.split(F.col(text), "\n\n")
-    parts = F.slice(parts, 1, limit) if limit else parts
+    parts = F.slice(parts, 1, limit) if limit is not None else parts
     return docs.select(F.col(id_col).alias("id"), F.posexplode(parts).alias("p", "text")).select("id", (F.col("p") + 1).cast("long").alias("par_no"), "text")
 
 

@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.words import line_count
+from textloom.operators.skew import dealt
 from textloom.plans.materialize import materialize
 
 PRIME = (1 << 31) - 1
+#: Documents of one bucket that one task compares with the bucket.
+BUCKET = 5_000
 
 
 def coefficients(perms: int) -> list[tuple[int, int]]:
@@ -88,8 +91,10 @@ def candidates(reps: DataFrame, threshold: float = 0.8, perms: int = 128) -> Dat
     bands, rows = optimal_bands(threshold, perms)
     parts = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.struct(k.alias("band"), F.xxhash64(F.slice("signature", k * rows + 1, rows)).alias("h")))
     cut = reps.select("pos", F.explode(parts).alias("x")).select("pos", "x.band", "x.h")
-    a, b = cut.withColumnRenamed("pos", "i"), cut.withColumnRenamed("pos", "j")
-    return a.join(b, ["band", "h"]).filter("i < j").select("i", "j").distinct()
+    cut = materialize(cut, "bands")
+    # documents of a full bucket meet one another in several tasks
+    a, b, keys = dealt(cut.withColumnRenamed("pos", "i"), cut.withColumnRenamed("pos", "j"), ["band", "h"], "i", BUCKET)
+    return a.join(b, keys).filter("i < j").select("i", "j").distinct()
 
 
 def links(docs: DataFrame, reps: DataFrame, pos: str = "id", text: str = "text", threshold: float = 0.8, length_threshold: int = 3, perms: int = 128) -> DataFrame:
@@ -130,6 +135,16 @@ def near_status(docs: DataFrame, pos: str = "id", text: str = "text", threshold:
     return out.select("pos", "rep", status.alias("status"))
 
 
+def best_first(docs: DataFrame, status: DataFrame, pos: str = "id") -> DataFrame:
+    """The documents that stay, with ``place`` to write them by: best ones of their groups first, then the others in order.
+
+    Documents without words are in no group and stay.
+    """
+    marked = docs.join(status.select(F.col("pos").alias(pos), F.col("status").alias("_s")), pos, "left")
+    stay = marked.filter("_s is null or _s in ('kept', 'kept_as_best')")
+    return stay.withColumn("place", F.struct(F.when(F.col("_s") == "kept_as_best", 0).otherwise(1).alias("rest"), F.col(pos).alias("pos"))).drop("_s")
+
+
 def counters(status: DataFrame) -> DataFrame:
     """``processed, kept_docs, removed`` over :func:`near_status`."""
     stays = F.col("status").isin("kept", "kept_as_best")
@@ -145,3 +160,19 @@ def samples(grouped: DataFrame, docs: DataFrame, pos: str = "id", text: str = "t
     rows = full.groupBy("rep").agg(F.array_sort(F.collect_list(order)).alias("rows")).join(best, "rep")
     documents = F.transform("rows", lambda x: F.struct(x["document_id"].alias("document_id"), x["text"].alias("text"), x["jaccard_similarity"].alias("jaccard_similarity")))
     return rows.select(F.col("rows.document_id").alias("group_ids"), F.col("best").alias("best_document_id"), documents.alias("documents"))
+
+
+def sample_report(sampled: DataFrame, signed: DataFrame) -> DataFrame:
+    """``best_document_id, report``: the groups of :func:`samples` as text, one block per group.
+
+    In this form the similarity is that with the group's best document, two decimals; ``signed`` are :func:`signatures`.
+    """
+    flat = sampled.select("best_document_id", "group_ids", F.posexplode("documents").alias("k", "d"))
+    a = signed.select(F.col("pos").alias("best_document_id"), F.col("signature").alias("sa"))
+    b = signed.select(F.col("pos").alias("document_id"), F.col("signature").alias("sb"))
+    rows = flat.select("best_document_id", "group_ids", "k", "d.document_id", "d.text").join(a, "best_document_id").join(b, "document_id")
+    near = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x)) / F.size("sa")
+    block = F.concat(F.lit("Document id: "), F.col("document_id").cast("string"), F.lit("\n"), F.col("text"), F.lit("\n\nJaccard Similarity with Best Document: "), F.format_string("%.2f", near), F.lit("\n\n"))
+    joined = rows.groupBy("group_ids", "best_document_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", block.alias("t")))), lambda x: x["t"]), "").alias("t"))
+    head = F.concat(F.lit("Group IDs: "), F.array_join("group_ids", ", "), F.lit("\nBest Document: "), F.col("best_document_id").cast("string"), F.lit("\n\nDocuments:\n\n"))
+    return joined.select("best_document_id", F.concat(head, F.col("t"), F.lit("-" * 40 + "\n")).alias("report"))

@@ -22,6 +22,11 @@ def with_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
     return rows.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_row") + 1).drop("_at", "_part", "_row", "_n", "_before")
 
 
+def first_rows(df: DataFrame, limit: int | None, *order: str) -> DataFrame:
+    """The first ``limit`` rows in ``order``, exactly; all without a limit. Every task keeps its own first rows only."""
+    return df if limit is None else df.sort(*order).limit(limit)
+
+
 def chunks(df: DataFrame, *order: str, n: int = 10) -> DataFrame:
     """``chunk`` 1 to ``n`` in order; the first ``rows mod n`` chunks hold one row more. No global window is needed."""
     placed = with_position(df, *order)

@@ -19,11 +19,13 @@ def assert_parallel(source: DataFrame, target: DataFrame) -> None:
 
 
 def first_lines(source: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Places of lines that repeat an earlier line of the source: ``keys``. Null lines repeat one another."""
-    order = F.struct(*keys)
-    keyed = source.select(*keys, F.coalesce(F.md5(text), F.lit("")).alias("_h"), order.alias("_o"))
-    first = keyed.groupBy("_h").agg(F.min("_o").alias("_first"))
-    return keyed.join(first, "_h").filter("_o <> _first").select(*keys)
+    """Places of lines that repeat an earlier line of the source: ``keys``. Null lines repeat one another.
+
+    First places are found with map-side combining and left out by place, which is spread evenly, not by line.
+    """
+    keyed = source.select(*keys, F.coalesce(F.md5(text), F.lit("")).alias("_h"), F.struct(*keys).alias("_o"))
+    first = keyed.groupBy("_h").agg(F.min("_o").alias("_o"))
+    return keyed.join(first, ["_o", "_h"], "left_anti").select(*keys)
 
 
 def drop_repeated(source: DataFrame, target: DataFrame, keys: list[str], text: str) -> tuple[DataFrame, DataFrame]:
@@ -32,6 +34,11 @@ def drop_repeated(source: DataFrame, target: DataFrame, keys: list[str], text: s
     return source.join(gone, keys, "left_anti"), target.join(gone, keys, "left_anti")
 
 
+def mismatch_counts(pairs: DataFrame) -> DataFrame:
+    """``total, mismatched`` of pairs with a ``status``; zeros for no pairs."""
+    return pairs.agg(F.count("*").alias("total"), F.count_if(F.col("status") == "mismatched").alias("mismatched"))
+
+
 def with_language_status(pairs: DataFrame, tag: str, wanted: str) -> DataFrame:
     """``status``: ``matched`` where the source's language is the wanted one, else ``mismatched``."""
     same = F.lower(F.trim(F.coalesce(F.col(tag), F.lit("")))) == wanted.strip().lower()

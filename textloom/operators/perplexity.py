@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.words import words
+from textloom.plans.materialize import materialize
 
 BEGIN, END = "<s>", "</s>"
-#: Parts into which every bigram's documents are spread when counts are joined to them.
-SALTS = 8
+#: A pair or word that makes up this share of all pairs is frequent: at most ``1 / FREQUENT`` of either exist.
+FREQUENT = 1 / 100_000
 
 
 def bigrams(text: Column) -> Column:
@@ -19,34 +20,53 @@ def bigrams(text: Column) -> Column:
     return F.get(pairs, F.lit(0))
 
 
-def _pairs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    rows = docs.filter(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), F.explode(bigrams(F.col(text))).alias("g"))
-    return rows.groupBy("id", "g.a", "g.b").agg(F.count("*").alias("n"))
-
-
 def fit(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``a, b, n, n_a``: how often each pair and its first word occur, over all documents."""
+    """``a, b, n, n_a``: how often each pair and its first word occur, over all documents. Written once."""
     rows = docs.filter(F.col(text).isNotNull()).select(F.explode(bigrams(F.col(text))).alias("g"))
-    pair = rows.groupBy("g.a", "g.b").agg(F.count("*").alias("n"))
+    pair = materialize(rows.groupBy("g.a", "g.b").agg(F.count("*").alias("n")), "bigrams")
     first = pair.groupBy("a").agg(F.sum("n").alias("n_a"))
-    return pair.join(first, "a")
+    return materialize(pair.join(first, "a"), "bigram-model")
 
 
 def score(docs: DataFrame, model: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
     """``id, perplexity``: ``exp`` of the mean negative log probability of the text's pairs, add-one smoothed.
 
     The vocabulary is the number of different words after which or as which a pair of the model occurs. Null texts have no
-    score. Every pair's counts are spread over ``SALTS`` copies, so a pair that most documents hold is joined in as many
-    tasks.
+    score. Counts of frequent pairs, whose number :data:`FREQUENT` bounds, are broadcast; only rare pairs, of which each
+    stands in few documents, are joined with a shuffle, and pairs the model lacks look up their first word the same way.
     """
-    vocabulary = model.select(F.explode(F.array("a", "b")).alias("w")).distinct().agg(F.count("*").alias("v"))
-    pairs = _pairs(docs, id_col, text).withColumn("salt", F.pmod(F.hash("id"), F.lit(SALTS)))
-    spread = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    counts = model.select("a", "b", F.col("n").alias("c"), spread.alias("salt"))
-    firsts = model.groupBy("a").agg(F.sum("n").alias("c_a")).select("a", "c_a", spread.alias("salt"))
-    joined = pairs.join(counts, ["a", "b", "salt"], "left").join(firsts, ["a", "salt"], "left").crossJoin(F.broadcast(vocabulary))
-    p = (F.coalesce("c", F.lit(0)) + 1) / (F.coalesce("c_a", F.lit(0)) + F.col("v"))
-    return joined.groupBy("id").agg(F.exp(-F.sum(F.col("n") * F.log(p)) / F.sum("n")).alias("perplexity"))
+    total, words_known = model.agg(F.sum("n")).first()[0] or 0, model.select(F.explode(F.array("a", "b")).alias("w")).distinct().count()
+    often = F.lit(max(total * FREQUENT, 50.0))
+    pairs = docs.filter(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), F.explode(bigrams(F.col(text))).alias("g")).select("id", "g.a", "g.b")
+    counts = model.select("a", "b", F.col("n").alias("c"), F.col("n_a").alias("c_a"))
+    frequent, rare = F.broadcast(counts.filter(F.col("c") > often)), counts.filter(F.col("c") <= often)
+    log_p = F.log((F.coalesce("c", F.lit(0)) + 1) / (F.coalesce("c_a", F.lit(0)) + F.lit(words_known)))
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("id").agg(F.sum(log_p).alias("s"), F.count("*").alias("k"))
+
+    other = pairs.join(frequent, ["a", "b"], "left_anti").join(rare, ["a", "b"], "left")
+    known = other.filter("c is not null")
+    unseen = other.filter("c is null").select("id", "a")
+    firsts = model.select("a", F.col("n_a").alias("c_a")).distinct()
+    common, seldom = F.broadcast(firsts.filter(F.col("c_a") > often)), firsts.filter(F.col("c_a") <= often)
+    missing = F.lit(None).cast("long").alias("c")
+    parts = [
+        pairs.join(frequent, ["a", "b"]),
+        known,
+        unseen.join(common, "a").select("id", missing, "c_a"),
+        unseen.join(common, "a", "left_anti").join(seldom, "a", "left").select("id", missing, "c_a"),
+    ]
+    sums = summed(parts[0].select("id", "c", "c_a"))
+    for p in parts[1:]:
+        sums = sums.unionByName(summed(p.select("id", "c", "c_a")))
+    return sums.groupBy("id").agg(F.exp(-F.sum("s") / F.sum("k")).alias("perplexity"))
+
+
+def requested(score: bool = False, html: bool = False, text: bool = False) -> None:
+    """Raises ``ValueError`` unless at least one action of the perplexity command is asked for."""
+    if not (score or html or text):
+        raise ValueError("no action: ask for a score, for clean HTML or for clean text")
 
 
 def filter_scores(docs: DataFrame, score_col: str = "pyplexity_score", limit: float = 2000.0, remove: bool = True) -> DataFrame:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -12,19 +11,20 @@ from pyspark.sql.types import StringType
 from textloom.functions.tokens import detokenize
 from textloom.functions.words import strip
 
-#: Rules up to which the chain stays a JVM expression; larger tables run as one Arrow function.
-EXPRESSION_RULES = 60
-_BEFORE, _AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
-
-
 def usable_rules(rules: DataFrame) -> DataFrame:
-    """Rules without a null side, each pattern and replacement once per sheet, at its first place."""
-    return rules.filter("pattern is not null and replacement is not null and pattern <> ''").groupBy("sheet", "pattern", "replacement").agg(F.min("ord").alias("ord"))
+    """Rules with a pattern, each pattern and replacement once per sheet, at its first place.
+
+    Both sides are stripped, but for those of ``transform``; a missing replacement deletes what the pattern finds.
+    """
+    raw = F.col("sheet") == "transform"
+    side = lambda name: F.when(raw, F.col(name)).otherwise(strip(F.col(name)))
+    rows = rules.select("sheet", side("pattern").alias("pattern"), F.coalesce(side("replacement"), F.lit("")).alias("replacement"), "ord")
+    return rows.filter("pattern is not null and pattern <> ''").groupBy("sheet", "pattern", "replacement").agg(F.min("ord").alias("ord"))
 
 
-def rule_list(rules: DataFrame, bel: bool = False, exact: bool = True) -> list[tuple[str, str, str]]:
-    """``(kind, pattern, replacement)`` in the order of application: ``error`` and ``RAG_fc`` as one set, ``exact``, and with
-    ``bel`` the ``transform`` expressions. The table is a hand-written one; it is read whole."""
+def rule_list(rules: DataFrame, bel: bool = False, exact: bool = False) -> list[tuple[str, str, str]]:
+    """``(kind, pattern, replacement)`` in the order of application: ``error`` and ``RAG_fc`` as one set, on request
+    ``exact``, and with ``bel`` the ``transform`` expressions. The table is a hand-written one; it is read whole."""
     rows = usable_rules(rules).collect()
     order = {"error": 0, "RAG_fc": 1, "exact": 2, "transform": 3}
     out, seen = [], set()
@@ -38,72 +38,50 @@ def rule_list(rules: DataFrame, bel: bool = False, exact: bool = True) -> list[t
 
 
 def word_pattern(pattern: str) -> str:
-    """The pattern as a whole word whose first letter may be a capital."""
-    quoted = lambda s: re.sub(r"([^\w\s]|_)", r"\\\1", s)  # noqa: E731 - both engines read these escapes
+    """The pattern between word boundaries; its first letter may be small or a capital."""
     first = pattern[0]
-    head = f"[{first.upper()}{first.lower()}]" if first.upper() != first.lower() else quoted(first)
-    return _BEFORE + head + quoted(pattern[1:]) + _AFTER
-
-
-def _plain_replacement(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("$", "\\$")
-
-
-def java_template(text: str) -> str:
-    r"""``\1`` references as ``$1``; a dollar sign of the text stays one."""
-    return re.sub(r"\\(\d)", r"$\1", text.replace("$", "\\$"))
+    head = f"[{first.upper()}{first.lower()}]" if first.upper() != first.lower() else regex.escape(first)
+    return rf"\b{head}{regex.escape(pattern[1:])}\b"
 
 
-def apply_rule(c: Column, kind: str, pattern: str, replacement: str) -> Column:
-    """One rule. A word rule whose first match begins the text with a capital writes all its matches with a capital and the
-    rest small; a transform is an expression and strips the text afterwards."""
-    if kind == "transform":
-        java = "(?U)" + pattern
-        return strip(F.regexp_replace(c, java, java_template(replacement)))
-    p = word_pattern(pattern)
-    start = rf"^(?=\p{{Lu}}){p.removeprefix(_BEFORE)}"
-    capital = _plain_replacement(replacement[:1].upper() + replacement[1:].lower())
-    plain = _plain_replacement(replacement)
-    # the lambda's variable stands for the text so far, so a chain of rules grows by one node per rule
-    done = F.transform(F.array(c), lambda t: F.when(t.rlike(start), F.regexp_replace(t, p, capital)).otherwise(F.regexp_replace(t, p, plain)))
-    return F.get(done, F.lit(0))
+class Rules:
+    """A rule table made ready: the same engine for tables of every size.
 
+    A word rule whose first match begins the text with a capital writes all its matches with a capital and the rest small. A
+    transform is an expression with references to its groups and strips the text afterwards.
+    """
 
-def _udf(rules: list[tuple[str, str, str]]):
-    def run(s: pd.Series) -> pd.Series:
-        import regex
-
-        compiled = []
+    def __init__(self, rules: list[tuple[str, str, str]]):
+        self.steps = []
         for kind, pattern, replacement in rules:
             if kind == "transform":
-                compiled.append((regex.compile(pattern), replacement, None))
+                self.steps.append((None, regex.compile(pattern), replacement, None))
             else:
-                p = word_pattern(pattern)
-                capital = replacement[:1].upper() + replacement[1:].lower()
-                compiled.append((regex.compile(p), lambda m, r=replacement: r, lambda m, r=capital: r))
-
-        def one(t: str) -> str:
-            for p, plain, capital in compiled:
-                if capital is None:
-                    t = p.sub(plain, t).strip()
-                else:
-                    m = p.search(t)
-                    if m:
-                        t = p.sub(capital if m.start() == 0 and t[:1].isupper() else plain, t)
-            return t
-
-        return s.map(one, na_action="ignore")
+                # a literal that every match contains spares most texts the expression
+                self.steps.append((pattern[1:], regex.compile(word_pattern(pattern)), replacement, replacement.capitalize()))
 
-    return F.pandas_udf(run, StringType())
+    def apply(self, text: str) -> str:
+        for needle, pattern, plain, capital in self.steps:
+            if capital is None:
+                text = pattern.sub(plain, text).strip()
+            elif needle in text:
+                m = pattern.search(text)
+                if m:
+                    out = capital if m.start() == 0 and m[0][0].isupper() else plain
+                    text = pattern.sub(lambda _: out, text)
+        return text
 
 
 def normalize(c: Column, rules: list[tuple[str, str, str]], detok: bool = False) -> Column:
-    """A line, stripped, detokenized on request, then every rule in order. Null stays null."""
+    """A line, stripped, detokenized on request, then every rule in order, in Arrow batches. Null stays null."""
     out = strip(c)
     if detok:
         out = detokenize(out)
-    if len(rules) > EXPRESSION_RULES:
-        return _udf(rules)(out)
-    for rule in rules:
-        out = apply_rule(out, *rule)
-    return out
+    if not rules:
+        return out
+
+    def run(s: pd.Series) -> pd.Series:
+        ready = Rules(rules)
+        return s.map(ready.apply, na_action="ignore")
+
+    return F.pandas_udf(run, StringType())(out)

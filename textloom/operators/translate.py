@@ -7,18 +7,24 @@ from pyspark.sql import functions as F
 
 from textloom.functions.words import words
 
+# Fixed value: marks of a translation engine and the word behind each.
 MARK = r"\[\[(UNK|GEN_ERR|NO_TRANS)\]\]\s*(\p{L}+)"
 # Spelling correspondences from Portuguese to Galician, longest first.
 SPELLING = [
     ("ções", "cións"), ("ção", "ción"), ("sões", "sións"), ("são", "sión"), ("ões", "óns"), ("ão", "ón"), ("lh", "ll"),
     ("nh", "ñ"), ("ss", "s"), ("j", "x"), ("ge", "xe"), ("gi", "xi"), ("ç", "z"), ("ê", "é"), ("ô", "ó"), ("â", "á"),
-    ("qua", "cua"), ("v", "v"), ("y", "i"), ("m ", "n "),
+    ("qua", "cua"), ("y", "i"),
 ]
 
 
+# What is deleted from a translated line and what is replaced, in order.
+LEFT_OVER = ["[[UNK]]", "[[GEN_ERR]]", "[[NO_TRANS]]"]
+PUT_RIGHT = [("'@", "'"), ("-@", "-"), ('"@', '"'), ("\\@", "\\\\"), ("http://@www", "http://www")]
+
+
 def transliterate(word: Column, table: list[tuple[str, str]] | None = None) -> Column:
     """A word by the rule table, rule after rule; ``table`` replaces the built-in one. Case is kept where a rule is small."""
-    for a, b in table if table is not None else SPELLING[:-1]:
+    for a, b in table if table is not None else SPELLING:
         word = F.replace(word, F.lit(a), F.lit(b))
     return F.regexp_replace(word, "m$", "n")
 
@@ -39,11 +45,11 @@ def _replace_marked(line: Column) -> Column:
 def clean_marks(line: Column) -> Column:
     """Marks, stray signs, blanks before punctuation and control characters of a translated line put right."""
     c = _replace_marked(line)
-    for tag in ("[[UNK]]", "[[GEN_ERR]]", "[[NO_TRANS]]"):
+    for tag in LEFT_OVER:
         c = F.replace(c, F.lit(tag), F.lit(""))
-    for a, b in (("'@", "'"), ("-@", "-"), ('"@', '"'), ("\\@", "\\\\"), ("http://@www", "http://www")):
+    for a, b in PUT_RIGHT:
         c = F.replace(c, F.lit(a), F.lit(b))
-    c = F.regexp_replace(c, r"\s+([,.!?;:)\]}])", "$1")
+    c = F.regexp_replace(c, r" +([,.!?;:)\]}])", "$1")
     c = F.regexp_replace(c, " {2,}", " ")
     return F.regexp_replace(c, r"[\x01-\x03]", "")
 

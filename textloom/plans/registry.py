@@ -1,32 +1,12 @@
-"""Commands by name, and row functions for SQL."""
+"""Names of the commands, and row functions for SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import clean, tokens, words
-from textloom.operators import exact, lexicon, lines, minhash, parallel, perplexity, rules, translate
-
-COMMANDS: dict[str, Callable] = {
-    "formatter": lines.split_documents,
-    "encoder": clean.encode_fix,
-    "tokenizer": tokens.tokenize,
-    "detokenizer": tokens.detokenize,
-    "filter_lang": lexicon.filter_lines,
-    "document_language": lexicon.tag_documents,
-    "mt_language": parallel.with_language_status,
-    "perplexity": perplexity.filter_scores,
-    "mt_transliteration": translate.translate_lines,
-    "normalize": rules.normalize,
-    "fix_new_lines": clean.clamp_newlines,
-    "jaccard": minhash.near_status,
-    "deduplication": exact.with_status,
-    "count": exact.count_parts,
-    "mt_deduplication": parallel.drop_repeated,
-}
+from textloom.plans.commands import COMMANDS
 
 #: Row functions that SQL can call under these names once :func:`register` has run.
 SQL_FUNCTIONS = {
@@ -46,12 +26,10 @@ def list_commands() -> list[str]:
 
 
 def register(spark: SparkSession) -> list[str]:
-    """SQL functions made of the same expressions, so they stay in the JVM; the names that were registered."""
+    """SQL functions made of the same expressions, so they stay in the JVM; the names that were registered. One that cannot
+    be registered raises."""
     for name, function in SQL_FUNCTIONS.items():
         body = spark.range(1).select(function(F.lit("x"))).schema[0].dataType.simpleString()
         expression = function(F.col("c"))._jc.toString()
-        try:
-            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(c STRING) RETURNS {body} RETURN {expression}")
-        except Exception:  # an expression without a SQL form
-            continue
-    return [r.function for r in spark.sql("SHOW USER FUNCTIONS").collect() if r.function.split(".")[-1].startswith("tl_")]
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(c STRING) RETURNS {body} RETURN {expression}")
+    return sorted(SQL_FUNCTIONS)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textloom.functions.words import strip
+from textloom.functions.clean import invalid_bytes
+from textloom.functions.words import strip, word_count
 from textloom.operators.lexicon import lexicon_from_files
 from textloom.operators.lines import newline_documents, paragraphs, split_documents
-from textloom.operators.order import with_position
+from textloom.operators.order import first_rows, with_position
 
 
 def read_lines(spark: SparkSession, path: str | list[str], line_sep: str | None = None) -> DataFrame:
@@ -49,9 +51,9 @@ def parse_documents(lines: DataFrame, field: str = "text", value: str = "value",
     return out.drop(value)
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], field: str = "text", strict: bool = True) -> DataFrame:
-    """``path, pos, text, rest`` of JSON lines files."""
-    return parse_documents(read_lines(spark, path, "\n"), field, strict=strict)
+def read_jsonl(spark: SparkSession, path: str | list[str], field: str = "text", strict: bool = True, limit: int | None = None) -> DataFrame:
+    """``path, pos, text, rest`` of JSON lines files; with ``limit`` of the first documents only."""
+    return first_rows(parse_documents(read_lines(spark, path, "\n"), field, strict=strict), limit, "pos")
 
 
 def read_newline_documents(spark: SparkSession, path: str | list[str], input_lf: int = 3, strict: bool = False) -> DataFrame:
@@ -60,12 +62,34 @@ def read_newline_documents(spark: SparkSession, path: str | list[str], input_lf:
 
 
 def read_paragraphs(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    return paragraphs(read_folder(spark, path), "path", limit=limit)
+    """``id, par_no, text`` of the parts between empty lines; with ``limit`` the first ones over all files."""
+    return first_rows(paragraphs(read_folder(spark, path), "path"), limit, "id", "par_no")
 
 
-def read_delimited(spark: SparkSession, path: str, delimiter: str = "\n\n\n") -> DataFrame:
-    """``id, part, text, num_words`` of files cut at a regular expression."""
-    return split_documents(read_folder(spark, path), "path", delimiter)
+def read_delimited(spark: SparkSession, path: str, delimiter: str = "\n\n\n", literal: bool = False) -> DataFrame:
+    """``id, part, text, num_words`` of files cut at a regular expression.
+
+    A file is one row until it is cut, so it must fit a task. With ``literal`` the delimiter is plain text, files of any size
+    are split where they are read, and the last part of a file is stripped like the others.
+    """
+    if not literal:
+        return split_documents(read_folder(spark, path), "path", delimiter)
+    rows = read_lines(spark, path, delimiter)
+    begin = rows.groupBy("path").agg(F.min("pos").alias("_begin"))
+    text = strip(F.col("value"))
+    return rows.join(F.broadcast(begin), "path").select(F.col("path").alias("id"), (F.col("pos") - F.col("_begin")).alias("part"), text.alias("text"), word_count(text).cast("int").alias("num_words"))
+
+
+def read_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """``path, pos, value`` of files whose bytes need not be UTF-8: lines end at a line feed, invalid bytes are left out.
+
+    Files are read whole, one row each until they are cut.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", F.posexplode(F.split(invalid_bytes(F.col("content")), "\n")).alias("p", "value"))
+    # a line feed at the end opens no line
+    last = F.row_number().over(W.partitionBy("path").orderBy(F.desc("p"))) == 1
+    rows = files.withColumn("_last", last).filter(~(F.col("_last") & (F.col("value") == "")))
+    return rows.select("path", (F.col("p") + 1).cast("long").alias("pos"), "value")
 
 
 def read_parallel(spark: SparkSession, source: str, target: str) -> tuple[DataFrame, DataFrame]:
@@ -74,9 +98,9 @@ def read_parallel(spark: SparkSession, source: str, target: str) -> tuple[DataFr
     return a.select("pos", F.col("value").alias("src")), b.select("pos", F.col("value").alias("tgt"))
 
 
-def read_lexicon(spark: SparkSession, folder: str) -> DataFrame:
-    """``lang, term, term_rank`` of a folder of ranked word lists named by language."""
-    return lexicon_from_files(read_lines(spark, folder, "\n"))
+def read_lexicon(spark: SparkSession, folder: str, varieties: bool = False) -> DataFrame:
+    """``lang, term, term_rank`` of a folder of ranked word lists named by language, or of those named by variety."""
+    return lexicon_from_files(read_lines(spark, folder, "\n"), varieties)
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:

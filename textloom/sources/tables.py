@@ -14,7 +14,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     A large table has more splits than cores and is never moved. Columns and filters still reach the scan.
     """
     df = spark.read.parquet(f"{folder}/{name}.parquet")
+    if name not in TEXT_TABLES:
+        return df
     cores = spark.sparkContext.defaultParallelism
-    if name in TEXT_TABLES and df.rdd.getNumPartitions() * 2 <= cores:
-        return df.repartition(cores)
-    return df
+    size = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    # files are few where they can be few splits: their number is all that is looked up
+    splits = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() // size + len(df.inputFiles())
+    return df.repartition(cores) if splits * 2 <= cores else df

@@ -33,6 +33,20 @@ def write_split(docs: DataFrame, path: str, status: str = "status", order: str |
     rows.write.mode(mode).partitionBy(status).json(path)
 
 
+def output_name(path: str, tag: str, folder: str | None = None) -> str:
+    """Where the result of a file goes: its name with ``tag`` before the ending, beside it or in ``folder``."""
+    head, _, name = path.rpartition("/")
+    stem, dot, ending = name.rpartition(".")
+    name = f"{stem}{tag}.{ending}" if dot and stem else name + tag
+    at = head if folder is None else folder.rstrip("/")
+    return f"{at}/{name}" if at else name
+
+
+def write_report(reports: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The near-duplicate report as text, groups by their best document."""
+    reports.sort("best_document_id").select("report").write.mode(mode).text(path)
+
+
 def write_parts(docs: DataFrame, path: str, file: str = "source_file", mode: str = "errorifexists") -> None:
     """One folder per source file."""
     docs.write.mode(mode).partitionBy(file).json(path)
