@@ -20,6 +20,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -37,6 +38,8 @@ BLOCK = 50_000
 EVIDENCE = 6.0
 #: Occurrences below which a unit is not learned by itself; swaps of whole code pages restore it all the same.
 LEAST_TIMES = 3
+#: Share of the gain of letters learned unit by unit that a swap of code pages must reach to take their place.
+OWN_SHARE = 0.7
 #: Steps of likelihood that a Python worker remembers (about 200 bytes each).
 REMEMBERED_STEPS = 100_000
 _NATIVE = "áéíóúñçãõâêôàèùîïëûüœÁÉÍÓÚÑÇÃÕÂÊÔÀÈÙÎÏËÛÜŒ"
@@ -389,25 +392,33 @@ class Finder:
             dense = sum(b - a for a, b, _, _ in contexts(own)) * 10 > 4 * len(own)
             other = self._swapped(text, EVIDENCE) if dense else None
             return other is not None, text if other is None else other
-        return True, self._swapped(text) or out
+        # what was learned unit by unit competes with the swaps; it picks the likeliest letter of each place by itself, so a
+        # swap, which must read the whole record one way, may gain somewhat less
+        learned = [(own[a:b], self.ciphers.decode(source, own[a:b], p, n), p, n) for a, b, p, n in found]
+        gain = sum(self.ciphers.step(u, x, p, n) for u, x, p, n in learned if x is not None) - 2.0 * len(contexts(out))
+        return True, self._swapped(text, max(OWN_SHARE * gain, 0.0), [(u, x) for u, x, _, _ in learned if x is not None]) or out
 
-    def _swapped(self, text: str, least: float = 0.0) -> str | None:
-        """The text under the swap that gains most, less what it leaves odd; None where none gains more than ``least``."""
+    def _swapped(self, text: str, least: float = 0.0, learned: Sequence[tuple[str, str]] = ()) -> str | None:
+        """The text under the swap that gains most, less what it leaves odd; None where none gains more than ``least``.
+
+        A swap of single characters must not read units otherwise than their letters were ``learned``.
+        """
         own = self.prepare(text)
         units = "\n".join(own[a:b] for a, b, _, _ in contexts(own))
         # swaps that explain the units about as far as any does, once per way to read them
-        reach, ways = {}, {}
+        reach = {}
         for swap in swaps():
             hits = swap.pattern.findall(units)
             if hits:
                 reach[swap] = sum(map(len, hits))
-                ways[swap] = frozenset((h, swap.table[h]) for h in hits)
         wide = 0.8 * max(reach.values(), default=0)
-        chosen = {ways[swap]: swap for swap in reversed(list(reach)) if reach[swap] >= wide}
+        chosen = {frozenset((h, swap.table[h]) for h in swap.pattern.findall(text)): swap for swap in reversed(list(reach)) if reach[swap] >= wide}
         best, most = None, least
         for swap in chosen.values():
             out, gain = swap.undo(text, self.ciphers)
             score = gain - 2.0 * len(contexts(self.prepare(out)))
+            if not swap.multi:
+                score -= 1.0 * sum(1 for u, x in learned if u in swap.table and swap.table[u].lower() != x)
             if score > most:
                 best, most = (swap, out), score
         if best is None:
