@@ -39,5 +39,5 @@ def test_translation_keeps_different_pairs_of_one_place(spark, tmp_path):
     pairs = [("f", 1, "a casa", "la casa"), ("f", 1, "a casa", "la casa"), ("f", 1, "o can", "el perro"), ("f", 1, "o gato", None), ("f", 2, "a lúa", "la luna")]
     spark.createDataFrame(pairs, "source_file string, pos long, src string, tgt string").write.parquet(f"{tmp_path}/parallel_corpus.parquet")
     spark.createDataFrame([("error", 1, "perro", "can")], "sheet string, ord int, pattern string, replacement string").write.parquet(f"{tmp_path}/rules.parquet")
-    got = sorted((r.pos, r.src) for r in QUERIES["translation_pipeline"](spark, str(tmp_path)).collect())
+    got = sorted((r.pos, r.src) for r in QUERIES["translated_pairs"](spark, str(tmp_path)).collect())
     assert got == [(1, "a casa"), (1, "o can"), (1, "o gato"), (2, "a lúa")]

@@ -1,4 +1,4 @@
-"""Composite pipelines: one lazy plan each, with the reason of every removal in ``status``."""
+"""Operators in a chain, with the reason of every removal in ``status``."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from textloom.functions.clean import encode_fix
 from textloom.operators import exact, lexicon, parallel, perplexity, rules, translate
 
 
-def standard(docs: DataFrame, scores: DataFrame, lex: DataFrame, suffixes: DataFrame, rule_table: DataFrame, top: int, wanted: str = "gl", limit: float = 2000.0, threshold: int = 15) -> DataFrame:
+def documents(docs: DataFrame, scores: DataFrame, lex: DataFrame, suffixes: DataFrame, rule_table: DataFrame, top: int, wanted: str = "gl", limit: float = 2000.0, threshold: int = 15) -> DataFrame:
     """Encoder, duplicate removal, perplexity filter, language filter, normalization: ``id, text, lang, status``.
 
     ``scores`` has ``id`` and ``pyplexity_score``; documents without a score go on. Removed documents keep the text they had
@@ -28,10 +28,10 @@ def standard(docs: DataFrame, scores: DataFrame, lex: DataFrame, suffixes: DataF
     return out.select("id", text.alias("text"), "lang", status.alias("status"))
 
 
-def parallel_corpus(pairs: DataFrame, lex: DataFrame, suffixes: DataFrame, rule_table: DataFrame, top: int, keys: list[str], wanted: str = "gl") -> DataFrame:
+def pairs(corpus: DataFrame, lex: DataFrame, suffixes: DataFrame, rule_table: DataFrame, top: int, keys: list[str], wanted: str = "gl") -> DataFrame:
     """Encoder on both sides, duplicate removal by source, language filter on the source, normalization of the source:
     ``keys, src, tgt, status``. Pairs stay together throughout."""
-    fixed = pairs.select(*keys, encode_fix(F.col("src")).alias("src"), encode_fix(F.col("tgt")).alias("tgt"))
+    fixed = corpus.select(*keys, encode_fix(F.col("src")).alias("src"), encode_fix(F.col("tgt")).alias("tgt"))
     gone = parallel.first_lines(fixed, keys, "src").withColumn("again", F.lit(True))
     placed = fixed.join(gone, keys, "left").withColumn("line_id", F.struct(*keys))
     tagged = lexicon.tag_lines(placed.filter("again is null"), "line_id", lex, suffixes, top, "src").select(F.col("id").alias("line_id"), "lang")
@@ -42,7 +42,7 @@ def parallel_corpus(pairs: DataFrame, lex: DataFrame, suffixes: DataFrame, rule_
     return matched.select(*keys, src.alias("src"), "tgt", status.alias("status"))
 
 
-def translated_corpus(pairs: DataFrame, dictionary: DataFrame, rule_table: DataFrame, keys: list[str]) -> DataFrame:
+def translated(pairs: DataFrame, dictionary: DataFrame, rule_table: DataFrame, keys: list[str]) -> DataFrame:
     """Encoder, duplicate removal by target, dictionary translation of the target with transliteration, normalization:
     ``keys, src, tgt``."""
     fixed = pairs.select(*keys, encode_fix(F.col("src")).alias("src"), encode_fix(F.col("tgt")).alias("tgt"))

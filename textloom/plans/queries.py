@@ -15,10 +15,13 @@ from textloom.operators import exact, lexicon, lines, minhash, order, parallel,
 from textloom.sources import readers, writers
 from textloom.sources.tables import table
 
+from . import chains, expected
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-WS = words.WS
+WS = expected.BLANKS
+PRIME = 2147483647
 
 
 def _words(e: str) -> str:
@@ -44,24 +47,7 @@ def _q(sql: str | None = None):
     return add
 
 
-def _quote(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def sql_steps(expr: str, steps) -> str:
-    """A chain of replacements as nested SQL."""
-    for pattern, replacement in steps:
-        for k in range(9, 0, -1):
-            replacement = replacement.replace(f"${k}", f"\\{k}")
-        expr = f"regexp_replace({expr}, {_quote(pattern)}, {_quote(replacement)}, 'g')"
-    return expr
-
-
-def sql_tokens(expr: str, steps) -> str:
-    expr = sql_steps(expr, steps)
-    for held, mark in zip(tokens._HOLD, tokens.COMPOUND + tokens.NUMERIC):
-        expr = f"replace({expr}, {_quote(held)}, {_quote(mark)})"
-    return f"trim(regexp_replace({expr}, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g'))"
+_quote = expected.quote
 
 
 # --- scans and scalars ----------------------------------------------------------------------------------------------
@@ -82,9 +68,10 @@ def text_scalars(spark, d):
     return table(spark, d, "docu").select("id", words.strip(t).alias("stripped"), words.collapse(t).alias("collapsed"), F.length(t).cast("long").alias("n_chars"), words.line_count(t).cast("long").alias("n_lines"))
 
 
-@_q("SELECT id, replace(text, chr(13) || chr(10), chr(10)) AS text FROM docu WHERE text LIKE '%' || chr(13) || chr(10) || '%'")
+# no text has these line ends, so every line end becomes one
+@_q("SELECT id, replace(replace(text, chr(10), chr(13) || chr(10)), chr(13) || chr(10), chr(10)) AS text FROM docu")
 def eol_normalized(spark, d):
-    docu = table(spark, d, "docu").filter(F.col("text").contains("\r\n"))
+    docu = table(spark, d, "docu").withColumn("text", F.replace("text", F.lit("\n"), F.lit("\r\n")))
     return docu.select("id", words.lines_ended(F.col("text")).alias("text"))
 
 
@@ -241,12 +228,11 @@ def parallel_dedup_target(spark, d):
 
 
 # --- lexicons and languages -----------------------------------------------------------------------------------------
-_SEP = "[" + "".join("\\" + c if c in "[]" else c for c in words.SEPARATORS) + "]"
-_SEP_DOC = "[" + "".join("\\" + c if c in "[]" else c for c in words.SEPARATORS[:-2]) + "]"
+_SEP, _SEP_DOC = expected.LINE_SEPARATORS, expected.DOCUMENT_SEPARATORS
 
 
 def _tok(e: str, sep: str = _SEP) -> str:
-    spaced = f"lower(regexp_replace({e}, {_quote('(' + sep + ')')}, ' \\1 ', 'g'))"
+    spaced = f"lower(regexp_replace({e}, {_quote(sep)}, ' \\1 ', 'g'))"
     return f"list_filter({_words(spaced)}, lambda t: NOT regexp_matches(t, {_quote(_SEP)}))"
 
 
@@ -261,14 +247,14 @@ def token_frequency(spark, d):
 
 
 @_q(
-    f"""WITH c AS (SELECT lang, token, count(*) AS n FROM (SELECT lang, unnest({_tok('text')}) AS token FROM docu) WHERE NOT regexp_matches(token, {_quote(lexicon.UNUSABLE)}) GROUP BY lang, token)
+    f"""WITH c AS (SELECT lang, token, count(*) AS n FROM (SELECT lang, unnest({_tok('text')}) AS token FROM docu) WHERE NOT regexp_matches(token, {_quote(expected.UNUSABLE)}) GROUP BY lang, token)
         SELECT lang, token AS term, CAST(rn AS INTEGER) AS term_rank FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, token) AS rn FROM c) WHERE rn <= 250"""
 )
 def lexicon_topk(spark, d):
     return lexicon.top_terms(lexicon.token_counts(table(spark, d, "docu")), 250)
 
 
-@_q(f"SELECT lang, term_rank, term FROM lexicon WHERE NOT regexp_matches(term, {_quote(lexicon.UNUSABLE)})")
+@_q(f"SELECT lang, term_rank, term FROM lexicon WHERE NOT regexp_matches(term, {_quote(expected.UNUSABLE)})")
 def lexicon_usable(spark, d):
     return lexicon.usable_terms(table(spark, d, "lexicon")).select("lang", "term_rank", "term")
 
@@ -279,7 +265,7 @@ def lexicon_ranks(spark, d):
 
 
 #: Entries of the last lexicon of the table, and one.
-TOP = 253
+TOP = "(SELECT count(*) + 1.0 FROM lexicon WHERE term IS NOT NULL AND lang = (SELECT max(lang) FROM lexicon WHERE term IS NOT NULL))"
 
 
 def _scored(tokens_from: str, keys: str) -> str:
@@ -287,9 +273,9 @@ def _scored(tokens_from: str, keys: str) -> str:
 r AS (SELECT lang, term, max(term_rank) AS rk FROM lexicon WHERE term IS NOT NULL GROUP BY lang, term),
 e AS (SELECT DISTINCT {_strip('suffix')} AS suffix, lang FROM suffixes WHERE lang IN (SELECT lang FROM r) AND {_strip('suffix')} <> ''),
 t AS (SELECT {keys}, token, count(*) AS n FROM ({tokens_from}) GROUP BY ALL),
-w AS (SELECT {keys}, r.lang, n * ({TOP}.0 - rk) AS w, n AS h FROM t JOIN r ON r.term = t.token
+w AS (SELECT {keys}, r.lang, n * ({TOP} - rk) AS w, n AS h FROM t JOIN r ON r.term = t.token
       UNION ALL
-      SELECT {keys}, e.lang, n * {TOP / 2} AS w, 0 AS h FROM t JOIN e ON suffix(t.token, e.suffix) WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.lang = e.lang AND r.term = t.token)),
+      SELECT {keys}, e.lang, n * {TOP} / 2 AS w, 0 AS h FROM t JOIN e ON suffix(t.token, e.suffix) WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.lang = e.lang AND r.term = t.token)),
 g AS (SELECT {keys}, lang, sum(w) AS w, sum(h) AS h FROM w GROUP BY {keys}, lang),
 best AS (SELECT {keys}, lang FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY w DESC, lang) AS rn, sum(h) OVER (PARTITION BY {keys}) AS hits FROM g) WHERE rn = 1 AND hits > 0)
 """
@@ -302,8 +288,13 @@ _TAGGED = (
 )
 
 
+def _lexicon(spark, d):
+    terms = table(spark, d, "lexicon")
+    return terms, table(spark, d, "suffixes"), lexicon.last_rank(terms)
+
+
 def _tagged(spark, d):
-    return lexicon.tag_lines(table(spark, d, "docu"), "id", table(spark, d, "lexicon"), table(spark, d, "suffixes"), TOP)
+    return lexicon.tag_lines(table(spark, d, "docu"), "id", *_lexicon(spark, d))
 
 
 @_q(_TAGGED + " SELECT id, line_no, lang FROM tagged")
@@ -313,7 +304,7 @@ def lang_id_line(spark, d):
 
 @_q("WITH " + _scored(f"SELECT id, unnest({_tok_doc('text')}) AS token FROM docu", "id") + " SELECT docu.id, coalesce(best.lang, 'es') AS lang FROM docu LEFT JOIN best USING (id)")
 def lang_id_doc(spark, d):
-    return lexicon.tag_documents(table(spark, d, "docu"), "id", table(spark, d, "lexicon"), table(spark, d, "suffixes"), TOP)
+    return lexicon.tag_documents(table(spark, d, "docu"), "id", *_lexicon(spark, d))
 
 
 @_q(_TAGGED + f" SELECT id, text, 'gl' AS lang FROM (SELECT id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM tagged WHERE lang = 'gl' AND NOT contains(line, chr(9)) GROUP BY id) WHERE {_strip('text')} <> ''")
@@ -341,62 +332,84 @@ _MT = (
 @_q(_MT)
 def mt_lang_filter(spark, d):
     pairs = table(spark, d, "parallel_corpus").select("source_file", "pos", "src", "tgt").distinct().withColumn("line_id", F.struct("source_file", "pos"))
-    tags = lexicon.tag_lines(pairs, "line_id", table(spark, d, "lexicon"), table(spark, d, "suffixes"), TOP, "src").select(F.col("id").alias("line_id"), "lang")
+    tags = lexicon.tag_lines(pairs, "line_id", *_lexicon(spark, d), "src").select(F.col("id").alias("line_id"), "lang")
     out = parallel.with_language_status(pairs.join(tags, "line_id", "left"), "lang", "gl")
     return out.select("source_file", "pos", "src", "tgt", "status")
 
 
+@_q("WITH matched AS (" + _MT.replace("WITH p AS", "WITH p AS", 1) + ") SELECT count(*) AS total, count(*) FILTER (status = 'mismatched') AS mismatched FROM matched")
+def mt_mismatch_counts(spark, d):
+    return parallel.mismatch_counts(mt_lang_filter(spark, d))
+
+
 # --- tokens -----------------------------------------------------------------------------------------------------------
-@_q(f"SELECT source_file, pos, {sql_tokens('src', tokens.TOKENIZE)} AS tokens FROM parallel_corpus")
+@_q(f"SELECT source_file, pos, {expected.tokens('src', expected.TOKENIZER)} AS tokens FROM parallel_corpus")
 def tokenize(spark, d):
     return table(spark, d, "parallel_corpus").select("source_file", "pos", tokens.tokenize(F.col("src")).alias("tokens"))
 
 
-@_q(f"SELECT source_file, pos, {sql_tokens(sql_tokens('tgt', tokens.TOKENIZE), tokens.DETOKENIZE)} AS line FROM parallel_corpus")
+@_q(f"SELECT source_file, pos, {expected.tokens(expected.tokens('tgt', expected.TOKENIZER), expected.DETOKENIZER)} AS line FROM parallel_corpus")
 def detokenize(spark, d):
     return table(spark, d, "parallel_corpus").select("source_file", "pos", tokens.detokenize(tokens.tokenize(F.col("tgt"))).alias("line"))
 
 
-_TAGS = " ".join(f"WHEN token = {_quote(k)} THEN {_quote(v)}" for k, v in words.PUNCTUATION_TAGS.items())
+_TAGS = expected.tag_case("token")
 
 
-@_q(f"SELECT token, CASE {_TAGS} WHEN regexp_matches(token, '^(<<|«)') THEN 'Fra' WHEN regexp_matches(token, '^(>>|»)') THEN 'Frc' ELSE '' END AS tag, count(*) AS n FROM (SELECT unnest(string_split({sql_tokens('line', tokens.TOKENIZE)}, ' ')) AS token FROM doc_lines) GROUP BY ALL")
+@_q(f"SELECT token, CASE {_TAGS} WHEN regexp_matches(token, '^(<<|«)') THEN 'Fra' WHEN regexp_matches(token, '^(>>|»)') THEN 'Frc' ELSE '' END AS tag, count(*) AS n FROM (SELECT unnest(string_split({expected.tokens('line', expected.TOKENIZER)}, ' ')) AS token FROM doc_lines) GROUP BY ALL")
 def punct_tags(spark, d):
     toks = table(spark, d, "doc_lines").select(F.explode(F.split(tokens.tokenize(F.col("line")), " ")).alias("token"))
     return toks.groupBy("token", words.punctuation_tag(F.col("token")).alias("tag")).agg(F.count("*").alias("n"))
 
 
-@_q(f"SELECT id, regexp_replace(regexp_replace(text, '([A-Z])\\.([A-Z])', '\\1\\2', 'g'), {_quote('(' + _SEP + ')')}, ' \\1 ', 'g') AS text FROM docu")
+@_q(f"SELECT id, regexp_replace(regexp_replace(text, '([A-Z])\\.([A-Z])', '\\1\\2', 'g'), {_quote(_SEP)}, ' \\1 ', 'g') AS text FROM docu")
 def separator_spacing(spark, d):
     return table(spark, d, "docu").select("id", words.space_separators(words.join_acronyms(F.col("text"))).alias("text"))
 
 
 # --- characters -------------------------------------------------------------------------------------------------------
-def _sql_percent(expr: str) -> str:
-    ascii_codes = clean.percent_table("ascii")
-    for name in ("utf8", "windows"):
-        for code, ch in sorted(clean.percent_table(name), key=lambda x: -len(x[0])):
-            expr = f"replace({expr}, {_quote(code)}, {_quote(ch)})"
-    for code, ch in [*ascii_codes, *clean.percent_table("control")]:
-        expr = f"replace({expr}, {_quote(code)}, {_quote(ch)})"
-    return expr
+# every row gets codes of its own: its letters and blanks are coded, and percent signs open what follows them
+_CODED = [("á", "%C3%A1"), ("ñ", "%F1"), ("e", "%65"), (" ", "%20"), ("t", "%2574"), ("—", "%E2%80%94"), ("º", "%C2%BA"), ("3", "%E2%80"), ("5", "%E2%84"), ("7", "%0A"), ("9", "%2537"), ("o", "%6f")]
+
 
+@_q(f"SELECT doc_id, {expected.replaced(expected.replaced('text', _CODED), expected.percent_pairs())} AS text FROM documents WHERE NOT contains(text, '%')")
+def percent_decode(spark, d):
+    coded = F.col("text")
+    for a, b in _CODED:
+        coded = F.replace(coded, F.lit(a), F.lit(b))
+    return table(spark, d, "documents").filter(~F.col("text").contains("%")).select("doc_id", clean.percent_decode(coded).alias("text"))
 
-_DIRTY = "{0} || ' caf%C3%A9 %E2%80%9Cx%E2%80%9D %2541 %2520 %E9 %0A fin'"
 
+@_q(f"SELECT id, {expected.replaced('text', expected.broken_pairs())} AS text FROM docu")
+def broken_letters(spark, d):
+    return table(spark, d, "docu").select("id", clean.latin1_letters(F.col("text")).alias("text"))
 
-@_q(f"SELECT doc_id, {_sql_percent(_DIRTY.format('text'))} AS text FROM documents")
-def percent_decode(spark, d):
-    dirty = F.concat("text", F.lit(" caf%C3%A9 %E2%80%9Cx%E2%80%9D %2541 %2520 %E9 %0A fin"))
-    return table(spark, d, "documents").select("doc_id", clean.percent_decode(dirty).alias("text"))
+
+_CONTROLS = "regexp_replace(regexp_replace(regexp_replace(text, '[\\x01-\\x1f\\x7f-\\x9f]', '', 'g'), '[\\p{Cc}\\p{Cf}\\p{Co}\\p{Zl}\\p{Zp}]|[\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{202f}\\x{205f}\\x{3000}]', '', 'g'), '[\\x{fffd}\\x{fffe}\\x{ffff}\\x{feff}\\x{fffc}]', '', 'g')"
+
+
+@_q(f"SELECT id, {expected.replaced(_CONTROLS, expected.broken_pairs(12))} AS text FROM docu")
+def alternative_fix(spark, d):
+    return table(spark, d, "docu").select("id", clean.alternative_fix(F.col("text")).alias("text"))
+
+
+@_q("SELECT doc_id, regexp_replace(text, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|</?[a-z][^<>]*>', ' ', 'g') AS text FROM documents WHERE contains(text, '<') AND NOT contains(text, '&')")
+def tags_removed(spark, d):
+    docs = table(spark, d, "documents").filter(F.col("text").contains("<") & ~F.col("text").contains("&"))
+    return docs.select("doc_id", clean.remove_tags(F.col("text")).alias("text"))
+
+
+@_q("SELECT doc_id, text FROM (SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 500)")
+def first_documents(spark, d):
+    return order.first_rows(table(spark, d, "documents").select("doc_id", "text"), 500, "doc_id")
 
 
 _BLANKS = "".join(chr(cp) for cp in range(0x2400, 0x2422) if cp not in (0x2405, 0x240A))
 
 
-@_q(f"SELECT id, translate(text, {_quote(_BLANKS + '␅␤␊')}, repeat(' ', {len(_BLANKS)}) || '?' || chr(10) || chr(10)) AS text FROM docu WHERE regexp_matches(text, '[\\x{{2400}}-\\x{{2426}}]')")
+@_q(f"SELECT id, translate(translate(text, 'aeiouñ', '␀␅␊␤␡␢'), {_quote(_BLANKS + '␅␤␊')}, repeat(' ', {len(_BLANKS)}) || '?' || chr(10) || chr(10)) AS text FROM docu")
 def control_pictures(spark, d):
-    docu = table(spark, d, "docu").filter(F.col("text").rlike(r"[\x{2400}-\x{2426}]"))
+    docu = table(spark, d, "docu").withColumn("text", F.translate("text", "aeiouñ", "␀␅␊␤␡␢"))
     return docu.select("id", clean.control_pictures(F.col("text")).alias("text"))
 
 
@@ -428,10 +441,10 @@ def decoding_fixed(spark, d):
 
 # --- near duplicates --------------------------------------------------------------------------------------------------
 _SIG = f"""
-h AS (SELECT id, list_transform(list_distinct({_words('text')}), lambda w: CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % {minhash.PRIME}) AS hs FROM docu WHERE {_N} > 0),
+h AS (SELECT id, list_transform(list_distinct({_words('text')}), lambda w: CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % {PRIME}) AS hs FROM docu WHERE {_N} > 0),
 x AS (SELECT id, unnest(hs) AS v FROM h),
-k AS (SELECT k, (k * 48271 + 11) % {minhash.PRIME - 1} + 1 AS a, (k * k * 69621 + 7 * k + 5) % {minhash.PRIME} AS b FROM range(128) t(k)),
-m AS (SELECT id, k, min((v * a + b) % {minhash.PRIME}) AS s FROM x, k GROUP BY id, k),
+k AS (SELECT k, (k * 48271 + 11) % {PRIME - 1} + 1 AS a, (k * k * 69621 + 7 * k + 5) % {PRIME} AS b FROM range(128) t(k)),
+m AS (SELECT id, k, min((v * a + b) % {PRIME}) AS s FROM x, k GROUP BY id, k),
 sig AS (SELECT id AS pos, list(s ORDER BY k) AS signature FROM m GROUP BY id),
 reps AS (SELECT min(pos) AS pos, signature FROM sig GROUP BY signature),
 cut AS (SELECT pos, band, signature[band * 13 + 1 : band * 13 + 13] AS h FROM reps, range(9) t(band)),
@@ -478,19 +491,31 @@ def near_dup_counters(spark, d):
     return minhash.counters(minhash.near_status(table(spark, d, "docu")))
 
 
-@_q()
+@_q("WITH " + _SIG + " SELECT best AS best_document_id, member AS document_id, CASE WHEN member = grp.rep THEN 1.0 ELSE similarity END AS jaccard_similarity, md5(text) AS text_key FROM grp JOIN best USING (rep) JOIN docu ON docu.id = member LEFT JOIN lk ON lk.i = grp.rep AND lk.j = member")
 def near_dup_samples(spark, d):
     docu = table(spark, d, "docu")
-    return minhash.samples(minhash.groups(minhash.links(docu, minhash.sets(docu)[1])), docu)
+    found = minhash.samples(minhash.groups(minhash.links(docu, minhash.sets(docu)[1])), docu)
+    rows = found.select("best_document_id", F.explode("documents").alias("x"))
+    return rows.select("best_document_id", "x.document_id", "x.jaccard_similarity", F.md5("x.text").alias("text_key"))
+
+
+@_q("WITH " + _SIG + " SELECT id, coalesce(status = 'kept_as_best', false) AS best FROM docu LEFT JOIN st ON pos = id WHERE status IS NULL OR status IN ('kept', 'kept_as_best')")
+def near_dup_best_first(spark, d):
+    docu = table(spark, d, "docu")
+    return minhash.best_first(docu, minhash.near_status(docu)).select("id", (F.col("place.rest") == 0).alias("best"))
 
 
 # --- rules --------------------------------------------------------------------------------------------------------------
-@_q("SELECT sheet, pattern, replacement, min(ord) AS ord FROM rules WHERE pattern IS NOT NULL AND replacement IS NOT NULL AND pattern <> '' GROUP BY sheet, pattern, replacement")
+def _side(e: str) -> str:
+    return f"CASE WHEN sheet = 'transform' THEN {e} ELSE {_strip(e)} END"
+
+
+@_q(f"SELECT sheet, {_side('pattern')} AS pattern, coalesce({_side('replacement')}, '') AS replacement, min(ord) AS ord FROM rules WHERE {_side('pattern')} <> '' GROUP BY ALL")
 def rules_usable(spark, d):
     return rules.usable_rules(table(spark, d, "rules"))
 
 
-@_q()
+@_q(f"SELECT source_file, pos, {expected.rules_applied(_strip('tgt'))} AS tgt FROM parallel_corpus")
 def rule_normalize(spark, d):
     rows = rules.rule_list(table(spark, d, "rules"))
     return table(spark, d, "parallel_corpus").select("source_file", "pos", rules.normalize(F.col("tgt"), rows).alias("tgt"))
@@ -498,7 +523,7 @@ def rule_normalize(spark, d):
 
 @_q()
 def rule_normalize_bel(spark, d):
-    rows = rules.rule_list(table(spark, d, "rules"), bel=True)
+    rows = rules.rule_list(table(spark, d, "rules"), bel=True, exact=True)
     return table(spark, d, "docu").select("id", rules.normalize(F.col("text"), rows, detok=True).alias("text"))
 
 
@@ -539,28 +564,14 @@ def latest_scores(spark, d):
 
 
 # --- translation --------------------------------------------------------------------------------------------------------
-def _sql_translit(expr: str) -> str:
-    for a, b in translate.SPELLING[:-1]:
-        expr = f"replace({expr}, {_quote(a)}, {_quote(b)})"
-    return f"regexp_replace({expr}, 'm$', 'n')"
-
-
-@_q(f"SELECT DISTINCT word, {_sql_translit('word')} AS transliterated FROM (SELECT unnest(regexp_extract_all(tgt, {_quote(translate.MARK)}, 2)) AS word FROM parallel_corpus)")
+@_q(f"SELECT DISTINCT word, {expected.transliterated('word')} AS transliterated FROM (SELECT unnest(regexp_extract_all(tgt, {_quote(expected.MARK)}, 2)) AS word FROM parallel_corpus)")
 def marked_words(spark, d):
     return translate.marked_words(table(spark, d, "parallel_corpus"), "tgt")
 
 
-def _sql_marks(expr: str) -> str:
-    for tag in ("[[UNK]]", "[[GEN_ERR]]", "[[NO_TRANS]]"):
-        expr = f"replace({expr}, '{tag}', '')"
-    for a, b in (("'@", "'"), ("-@", "-"), ('"@', '"'), ("\\@", "\\\\"), ("http://@www", "http://www")):
-        expr = f"replace({expr}, {_quote(a)}, {_quote(b)})"
-    return f"regexp_replace(regexp_replace(regexp_replace({expr}, '\\s+([,.!?;:)\\]}}])', '\\1', 'g'), ' {{2,}}', ' ', 'g'), '[\\x01-\\x03]', '', 'g')"
-
-
 @_q(
-    f"""WITH p AS (SELECT source_file, pos, src, string_split(regexp_replace(tgt, {_quote(translate.MARK)}, chr(1) || '\\2' || chr(2), 'g'), chr(1)) AS ps FROM parallel_corpus WHERE tgt IS NOT NULL)
-        SELECT source_file, pos, src, {_sql_marks(f"array_to_string(list_transform(ps, lambda x: CASE WHEN contains(x, chr(2)) THEN {_sql_translit('split_part(x, chr(2), 1)')} || split_part(x, chr(2), 2) ELSE x END), '')")} AS tgt FROM p"""
+    f"""WITH p AS (SELECT source_file, pos, src, string_split(regexp_replace(tgt, {_quote(expected.MARK)}, chr(1) || '\\2' || chr(2), 'g'), chr(1)) AS ps FROM parallel_corpus WHERE tgt IS NOT NULL)
+        SELECT source_file, pos, src, {expected.marks_cleaned(f"array_to_string(list_transform(ps, lambda x: CASE WHEN contains(x, chr(2)) THEN {expected.transliterated('split_part(x, chr(2), 1)')} || split_part(x, chr(2), 2) ELSE x END), '')")} AS tgt FROM p"""
 )
 def mark_cleanup(spark, d):
     return table(spark, d, "parallel_corpus").filter("tgt is not null").select("source_file", "pos", "src", translate.clean_marks(F.col("tgt")).alias("tgt"))
@@ -580,28 +591,29 @@ def dictionary_translation(spark, d):
     return translate.translate_lines(pairs, _dictionary(spark, d), ["source_file", "pos", "tgt"], "tgt", transliterated=False)
 
 
-# --- pipelines ----------------------------------------------------------------------------------------------------------
-@_q()
-def standard_pipeline(spark, d):
-    from . import pipelines
+# --- chains ---------------------------------------------------------------------------------------------------------------
+def _pairs(spark, d):
+    """Full repeats go only; different pairs of one place stay apart by a key of their own."""
+    pairs = table(spark, d, "parallel_corpus").dropDuplicates(["source_file", "pos", "src", "tgt"])
+    return pairs.withColumn("pair_key", F.sha2(F.to_json(F.struct("src", "tgt")), 256))
 
-    scores = perplexity.latest_scores(table(spark, d, "scored_docs"))
-    return pipelines.standard(table(spark, d, "docu"), scores, table(spark, d, "lexicon"), table(spark, d, "suffixes"), table(spark, d, "rules"), TOP)
 
+_KEYS = ["source_file", "pos", "pair_key"]
 
-@_q()
-def parallel_pipeline(spark, d):
-    from . import pipelines
 
-    pairs = table(spark, d, "parallel_corpus").dropDuplicates(["source_file", "pos", "src", "tgt"])
-    return pipelines.parallel_corpus(pairs, table(spark, d, "lexicon"), table(spark, d, "suffixes"), table(spark, d, "rules"), TOP, ["source_file", "pos"])
+@_q()
+def cleaned_documents(spark, d):
+    scores = perplexity.latest_scores(table(spark, d, "scored_docs"))
+    terms, suffixes, top = _lexicon(spark, d)
+    return chains.documents(table(spark, d, "docu"), scores, terms, suffixes, table(spark, d, "rules"), top)
 
 
 @_q()
-def translation_pipeline(spark, d):
-    from . import pipelines
+def cleaned_pairs(spark, d):
+    terms, suffixes, top = _lexicon(spark, d)
+    return chains.pairs(_pairs(spark, d), terms, suffixes, table(spark, d, "rules"), top, _KEYS).drop("pair_key")
 
-    # full repeats go only; different pairs of one place stay apart by a key of their own
-    pairs = table(spark, d, "parallel_corpus").dropDuplicates(["source_file", "pos", "src", "tgt"])
-    pairs = pairs.withColumn("pair_key", F.sha2(F.to_json(F.struct("src", "tgt")), 256))
-    return pipelines.translated_corpus(pairs, _dictionary(spark, d), table(spark, d, "rules"), ["source_file", "pos", "pair_key"]).drop("pair_key")
+
+@_q()
+def translated_pairs(spark, d):
+    return chains.translated(_pairs(spark, d), _dictionary(spark, d), table(spark, d, "rules"), _KEYS).drop("pair_key")

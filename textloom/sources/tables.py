@@ -17,7 +17,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     if name not in TEXT_TABLES:
         return df
     cores = spark.sparkContext.defaultParallelism
-    size = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     # files are few where they can be few splits: their number is all that is looked up
     splits = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() // size + len(df.inputFiles())
     return df.repartition(cores) if splits * 2 <= cores else df
