@@ -60,6 +60,15 @@ def test_fields_in_any_order_keep_their_values(spark):
     assert got == {(1, 2)}
 
 
+def test_field_names_of_any_usual_kind(spark):
+    text = SENTENCE.format(3)
+    rows = []
+    for k, name in enumerate(("lugar", "data de alta", "campo1", "n")):
+        rows += [(10 * k, f"título: unha {k}\n{name}: Lugo\nresumo: {text}"), (10 * k + 1, f"resumo: {text} | {name} = Lugo | título: unha {k}"), (10 * k + 2, f'{{"{name}": "Lugo", "título": "unha {k}", "resumo": "{text}"}}')]
+    got = {tuple(r) for r in layout.layout_copies(docu(spark, rows)).select("keep_id", "copy_id").collect()}
+    assert got == {(10 * k, 10 * k + j) for k in range(4) for j in (1, 2)}
+
+
 @pytest.mark.parametrize("hot", [near.HOT_BLOCK, 2])
 def test_near_pairs_against_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(near, "HOT_BLOCK", hot)

@@ -9,9 +9,12 @@ from textloom.plans.materialize import materialize
 
 from .consistent import consistent, word_count
 
-#: A field name and its sign: one word, quoted or not, then a colon or an equals sign.
-_FIELD = r"(?<![\p{L}\p{N}])([\p{L}_]{2,40})[\"']?\s*[:=](?!//)"
-_STARTS = r"^[^\p{L}\p{N}]*[\p{L}_]{2,40}[\"']?\s*[:=](?!//)"
+#: A name of one to three words, the first of which begins with a letter.
+_NAME = r"[\p{L}_][\p{L}\p{N}_]{0,39}(?: [\p{L}\p{N}_]{1,40}){0,2}"
+#: A field name and its sign: behind a separator any name, elsewhere a single word; quoted or not, then a colon or an equals
+#: sign.
+_FIELD = rf"(?:(?:^|[\n|;,{{\t])\s*[\"']?({_NAME})|(?<![\p{{L}}\p{{N}}])([\p{{L}}_]{{2,40}}))[\"']?\s*[:=](?!//)"
+_STARTS = rf"^[^\p{{L}}\p{{N}}]*{_NAME}[\"']?\s*[:=](?!//)"
 _GLUE = r"[^\p{L}\p{N}\x01\x02]+"
 
 
@@ -24,7 +27,7 @@ def layout_key(form: Column) -> Column:
     parsed = F.from_json(F.when(form.rlike(r"^\s*\{"), form), "map<string,string>")
     as_lines = F.array_join(F.transform(F.map_entries(parsed), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
     text = F.lower(F.coalesce(as_lines, form))
-    cut = F.regexp_replace(F.regexp_replace(text, _FIELD, "\x01$1\x02"), _GLUE, "")
+    cut = F.regexp_replace(F.regexp_replace(text, _FIELD, "\x01$1$2\x02"), _GLUE, "")
     fields = F.array_join(F.array_sort(F.split(cut, "\x01")), "\x01")
     return F.when(text.rlike(_STARTS), fields).otherwise(F.regexp_replace(text, r"[^\p{L}\p{N}]+", ""))
 
