@@ -3,9 +3,9 @@
 1. Each record becomes the set of its distinct lower-case words (64-bit hashes). Equal sets collapse into one
    representative before anything is joined.
 2. Index-level skipping. Words are ordered from rare to frequent; only the head of a set is posted. Posting lists are cut
-   into blocks by word, size band and position: for each doubling stretch of places, the postings up to it. A probe goes only
-   to the block whose sizes and places can still reach the threshold together with its own size and place, or to none, so it
-   never meets the others; inside a block a posting is skipped by the exact bound and by a 64-bit parity sketch, whose Hamming distance is a lower bound
+   into blocks by word, size band and position, one with the first half of the places and one with all. A probe goes only to
+   the block whose sizes and places can still reach the threshold together with its own size and place, or to none, so it
+   never meets the others; inside a block a posting is skipped by the exact bound and by a 128-bit parity sketch, whose Hamming distance is a lower bound
    of the symmetric difference. Blocks of very frequent words are dealt to salts, so that no task holds a whole one.
 3. Answer-level derivation. Each candidate's set is compared once with that of its smallest candidate neighbour, its
    leader. The overlap of two sets with one leader then follows exactly from their two small differences to it; only pairs
@@ -98,16 +98,18 @@ def _heads(ranks: np.ndarray, threshold: float):
             bits = np.left_shift(np.uint64(1), spread >> np.uint64(58))
             begin = np.concatenate([[0], np.cumsum(lens)])[:-1]
             full = lens > 0
-            parity = np.zeros(len(lens), np.uint64)
+            upper = (spread >> np.uint64(57)) & np.uint64(1) == 1
+            parity = np.zeros((2, len(lens)), np.uint64)
             if full.any():
-                parity[full] = np.bitwise_xor.reduceat(bits, begin[full])
+                for k in (0, 1):
+                    parity[k, full] = np.bitwise_xor.reduceat(np.where(upper == k, bits, np.uint64(0)), begin[full])
             keep = np.where(full, lens - np.ceil(threshold * lens - 1e-9).astype(np.int64) + 1, 0)
             pos = np.arange(len(flat)) - np.repeat(begin, lens)
             head = flat[pos < np.repeat(keep, lens)]
             offsets = pa.array(np.concatenate([[0], np.cumsum(keep)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(lens.astype(np.int32)), pa.array(parity.view(np.int64)), b.column(2), pa.ListArray.from_arrays(offsets, pa.array(head))],
-                names=["id", "n", "parity", "set_key", "head"],
+                [b.column(0), pa.array(lens.astype(np.int32)), *(pa.array(p.view(np.int64)) for p in parity), b.column(2), pa.ListArray.from_arrays(offsets, pa.array(head))],
+                names=["id", "n", "p0", "p1", "set_key", "head"],
             )
 
     return run
@@ -138,16 +140,15 @@ def near_classes(docu: DataFrame, id_col: str = "id", text_col: str = "text", th
     ranked = counts.orderBy(F.desc("df"), "word").limit(RANKED_WORDS).toPandas()
     ranks = {"word": ranked["word"].to_numpy(np.int64)}
 
-    heads = sets.select("id", "words", "set_key").mapInArrow(_heads(ranks, threshold), "id long, n int, parity long, set_key long, head array<long>")
+    heads = sets.select("id", "words", "set_key").mapInArrow(_heads(ranks, threshold), "id long, n int, p0 long, p1 long, set_key long, head array<long>")
     heads = materialize(heads, "heads")
-    reps = heads.groupBy("set_key").agg(F.min(F.struct("id", "n", "parity", "head")).alias("r")).select("set_key", "r.*")
+    reps = heads.groupBy("set_key").agg(F.min(F.struct("id", "n", "p0", "p1", "head")).alias("r")).select("set_key", "r.*")
     members = heads.select("id", "set_key").join(reps.select("set_key", F.col("id").alias("rep")), "set_key").select("id", "rep").distinct()
 
     t, c = F.lit(threshold), threshold / (1 + threshold)
     step = -math.log(threshold)
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + 1e-9).cast("int")
-    stretch = lambda place: F.floor(F.log2(place + 1.0) + 1e-9).cast("int")  # noqa: E731 - 0, 1-2, 3-6, 7-14, ...
-    probe = reps.select(F.col("id").alias("id_x"), F.col("n").alias("n_x"), F.col("parity").alias("parity_x"), band.alias("own"), F.posexplode("head").alias("i", "word"))
+    probe = reps.select(F.col("id").alias("id_x"), F.col("n").alias("n_x"), F.col("p0").alias("p0_x"), F.col("p1").alias("p1_x"), band.alias("own"), F.posexplode("head").alias("i", "word"))
     # a probe reaches down to sizes of threshold * n: its own band and the one below. Of a band it needs the sizes at which
     # what is left after its own place suffices, and of those sizes the places after which enough is left
     probe = probe.select("*", F.explode(F.array("own", F.col("own") - 1)).alias("band"))
@@ -156,21 +157,21 @@ def near_classes(docu: DataFrame, id_col: str = "id", text_col: str = "text", th
     smallest = F.greatest(F.ceil(n_x * t - 1e-9), F.ceil(F.exp(F.col("band") * F.lit(step)) - 1e-9))
     last = F.floor(largest * F.lit(1 - c) - n_x * F.lit(c) + 1e-9)
     probe = probe.select("*", largest.alias("largest"), smallest.alias("smallest"), last.alias("last")).filter("largest >= smallest and last >= 0")
-    # one list of the band's lists: the one with the places up to the stretch that can still matter
-    longest = F.greatest(top - F.ceil(top * F.lit(2 * threshold / (1 + threshold)) - 1e-9), F.lit(0)) + 1
-    widest = lambda: stretch(longest)
-    probe = probe.select("id_x", "n_x", "parity_x", "i", F.xxhash64("word", "band", F.least(stretch(F.col("last")), widest())).alias("block"))
+    # of the two lists of a word and band, one with the first half of the places and one with all, the shorter that suffices
+    half = F.ceil((F.greatest(top - F.ceil(top * F.lit(2 * threshold / (1 + threshold)) - 1e-9), F.lit(0)) + 1) / 2)
+    late = lambda place: (F.col(place) >= half).cast("int")
+    probe = probe.select("id_x", "n_x", "p0_x", "p1_x", "i", F.xxhash64("word", "band", late("last")).alias("block"))
     # the smaller set of a pair needs only a shorter head
     short = F.col("n") - F.ceil(F.col("n") * F.lit(2 * threshold / (1 + threshold)) - 1e-9) + 1
-    index = reps.select(F.col("id").alias("id_y"), F.col("n").alias("n_y"), F.col("parity").alias("parity_y"), band.alias("band"), F.posexplode(F.slice("head", 1, short.cast("int"))).alias("j", "word"))
-    index = index.select("id_y", "n_y", "parity_y", "j", F.explode(F.transform(F.sequence(stretch(F.col("j")), widest()), lambda r: F.xxhash64("word", "band", r))).alias("block"))
+    index = reps.select(F.col("id").alias("id_y"), F.col("n").alias("n_y"), F.col("p0").alias("p0_y"), F.col("p1").alias("p1_y"), band.alias("band"), F.posexplode(F.slice("head", 1, short.cast("int"))).alias("j", "word"))
+    index = index.select("id_y", "n_y", "p0_y", "p1_y", "j", F.explode(F.transform(F.sequence(late("j"), F.lit(1)), lambda r: F.xxhash64("word", "band", r))).alias("block"))
     probe, index, keys = _dealt(probe, index)
     need = _need(F.col("n_x"), F.col("n_y"), threshold)
     hits = probe.join(index, keys).filter(
         ((F.col("n_y") < F.col("n_x")) | ((F.col("n_y") == F.col("n_x")) & (F.col("id_y") < F.col("id_x"))))
         & (F.col("n_y") >= F.col("n_x") * t - 1e-9)
         & (F.least(F.col("n_x") - F.col("i"), F.col("n_y") - F.col("j")) >= need)
-        & (F.bit_count(F.col("parity_x").bitwiseXOR(F.col("parity_y"))) <= F.col("n_x") + F.col("n_y") - 2 * need)
+        & (F.bit_count(F.col("p0_x").bitwiseXOR(F.col("p0_y"))) + F.bit_count(F.col("p1_x").bitwiseXOR(F.col("p1_y"))) <= F.col("n_x") + F.col("n_y") - 2 * need)
     )
     cand = hits.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
     cand = materialize(cand, "candidates")
