@@ -164,7 +164,7 @@ def test_readers_and_writers(spark, tmp_path):
 
 
 def test_registry(spark):
-    assert {"deduplication", "jaccard", "encoder", "recoglang", "mt_quelingua", "count"} <= set(list_commands())
+    assert {"deduplication", "jaccard", "encoder", "document_language", "mt_language", "count"} <= set(list_commands())
     assert len(register(spark)) == 8
     got = spark.sql("SELECT tl_words(' a b ') AS n, tl_strip(' a ') AS s, tl_tokenize('a, b') AS t, tl_detokenize('a , b') AS d, tl_punctuation_tag(',') AS p, tl_clamp_newlines('a\n\n\n\n\nb') AS c").first()
     assert tuple(got) == (2, "a", "a , b", "a, b", "Fc", "a\n\n\nb")
@@ -249,11 +249,11 @@ def test_commands(spark, tmp_path):
     assert len(lines_of("j")) == 2
     run("filter_lang", spark, at, out("f"), words=lex, suffixes=suf, lang="gl")
     assert [(x["k"], x["lang"]) for x in lines_of("f")] == [(1, "gl")]
-    run("pyplexity", spark, at, out("p"), model=perplexity.fit(readers.read_jsonl(spark, at)))
-    assert all(x["pyplexity_score"] > 1 for x in lines_of("p"))
+    run("perplexity_filter", spark, at, out("p"), model=perplexity.fit(readers.read_jsonl(spark, at)))
+    assert all(x["perplexity"] > 1 for x in lines_of("p"))
     assert run("count", spark, out("in.txt"), out("c"), input_lf=3).filter("file is null").first()[1:] == (2, 1)
-    assert run("mt_quelingua", spark, out("in.txt"), out("q"), target=out("in.txt"), words=lex, suffixes=suf).first().total == 7
-    for name, more in (("tokenizer", {}), ("recoglang", {"words": lex, "suffixes": suf, "mode": "jsonl"}), ("formatter", {}), ("fix_new_lines", {}), ("mt_deduplication", {"target": at}), ("mt_transliteration", {"dictionary": table.select(F.col("pattern").alias("term"), F.col("replacement").alias("translation"))})):
+    assert run("mt_language", spark, out("in.txt"), out("q"), target=out("in.txt"), words=lex, suffixes=suf).first().total == 7
+    for name, more in (("tokenizer", {}), ("document_language", {"words": lex, "suffixes": suf, "mode": "jsonl"}), ("formatter", {}), ("fix_new_lines", {}), ("mt_deduplication", {"target": at}), ("mt_transliteration", {"dictionary": table.select(F.col("pattern").alias("term"), F.col("replacement").alias("translation"))})):
         run(name, spark, at, out("x" + name), **more)
     try:
         run("tokenizer", spark, at, out("y"), mode="csv")

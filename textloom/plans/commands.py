@@ -84,19 +84,19 @@ def filter_lang(spark, path, output, words: DataFrame, suffixes: DataFrame, lang
 
 
 @_command
-def recoglang(spark, path, output, words: DataFrame, suffixes: DataFrame, mode="txt", field="text"):
+def document_language(spark, path, output, words: DataFrame, suffixes: DataFrame, mode="txt", field="text"):
     found = lexicon.tag_documents(_read(spark, path, mode, field), "pos", words, suffixes, lexicon.last_rank(words))
     writers.write_jsonl(found, output, "id", "lang", order="id")
     return found
 
 
 @_command
-def pyplexity(spark, path, output, model: DataFrame, score=True, perpl_limit=2000.0, remove_low_scores=True, mode="jsonl", field="text"):
+def perplexity_filter(spark, path, output, model: DataFrame, score=True, perpl_limit=2000.0, remove_low_scores=True, mode="jsonl", field="text"):
     perplexity.requested(score=score)
     docs = _read(spark, path, mode, field)
-    scored = docs.join(perplexity.score(docs.withColumn("text", readers.strip(F.col("text"))), model, "pos").withColumnsRenamed({"id": "pos", "perplexity": "pyplexity_score"}), "pos", "left")
-    kept = perplexity.filter_scores(scored, limit=perpl_limit, remove=remove_low_scores)
-    return _write(kept.filter("status = 'kept'"), output, mode, field, *(["pyplexity_score"] if mode == "jsonl" else []))
+    scored = docs.join(perplexity.score(docs.withColumn("text", readers.strip(F.col("text"))), model, "pos").withColumnsRenamed({"id": "pos", "perplexity": "perplexity"}), "pos", "left")
+    kept = perplexity.filter_scores(scored, "perplexity", limit=perpl_limit, remove=remove_low_scores)
+    return _write(kept.filter("status = 'kept'"), output, mode, field, *(["perplexity"] if mode == "jsonl" else []))
 
 
 @_command
@@ -163,7 +163,7 @@ def mt_deduplication(spark, path, output, target):
 
 
 @_command
-def mt_quelingua(spark, path, output, target, words: DataFrame, suffixes: DataFrame, lang="gl", tag="_quelingua"):
+def mt_language(spark, path, output, target, words: DataFrame, suffixes: DataFrame, lang="gl", tag="_lang"):
     src, tgt = readers.read_parallel(spark, path, target)
     found = lexicon.tag_lines(src, "pos", words, suffixes, lexicon.last_rank(words), "src").select(F.col("id").alias("pos"), "lang")
     pairs = parallel.with_language_status(parallel.align(src, tgt, ["pos"]).join(found, "pos", "left"), "lang", lang)
