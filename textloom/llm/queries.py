@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textloom.sources.tables import table
 
-from . import consistent, encode, garble, language, layout, leak, near, pairs, quality, subject
+from . import consistent, encode, expected, garble, language, layout, leak, near, pairs, quality, subject
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -78,4 +78,4 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_statistics, p2_found, p2_passages, p3_found, p3_restored, p4_found, p4_documents, p5_found, p5_groups, p6_found, p6_forms, p6_classes, p7_ids, p7_texts, p8_found, p9_found)}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = expected.ORACLE
