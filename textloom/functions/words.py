@@ -28,11 +28,12 @@ def _once(c: Column, function) -> Column:
 
 def word_count(c: Column) -> Column:
     """Runs of non-blank characters."""
-    return _by_blanks(c, lambda s, w: F.regexp_count(c, F.lit(f"{w}+")))
+    return F.when(c.isNotNull(), F.size(words(c)))
 
 
 def words(c: Column) -> Column:
-    return _once(c, lambda x: _by_blanks(x, lambda s, w: F.regexp_extract_all(x, F.lit(f"{w}+"), F.lit(0))))
+    """Cut at blanks: the engine's expressions that extract or count all matches copy the whole text for each match."""
+    return _once(c, lambda x: _by_blanks(x, lambda s, w: F.filter(F.split(x, f"{s}+"), lambda t: t != "")))
 
 
 def strip(c: Column) -> Column:
@@ -64,9 +65,15 @@ def space_separators(c: Column, document: bool = False) -> Column:
 
 
 def language_tokens(c: Column, document: bool = False) -> Column:
-    """Lower-case tokens with separators split off and left out; the document variant joins acronyms first."""
-    text = F.lower(space_separators(join_acronyms(c) if document else c, document))
-    return F.filter(words(text), lambda t: ~t.rlike(_CLASS))
+    """Lower-case tokens with separators split off and left out; the document variant joins acronyms first, splits at two
+    separators less and leaves out tokens that hold one of these.
+
+    Tokens are the runs between blanks and separators, so one expression finds them.
+    """
+    text = F.lower(join_acronyms(c) if document else c)
+    apart = (_CLASS_DOCUMENT if document else _CLASS)[1:-1]
+    wanted = (lambda t: (t != "") & ~t.rlike(_CLASS)) if document else (lambda t: t != "")
+    return _once(text, lambda x: _by_blanks(x, lambda s, w: F.filter(F.split(x, f"[{s[1:-1] if s.startswith('[') else s}{apart}]+"), wanted)))
 
 
 # Part-of-speech tags of punctuation.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -63,9 +64,9 @@ def last_rank(lexicon: DataFrame, lang: str | None = None) -> int:
     return rows.filter(F.col("lang") == last).count() + 1
 
 
-def _weights(lexicon: DataFrame, suffixes: DataFrame, top: int) -> tuple[DataFrame, Callable, list[str]]:
-    """``(terms, tails, languages)``: ``token, ws`` of the lexicon, a function from a token and the languages that hold it to
-    its weights by suffix, and the languages that weights can name. The suffix table is a hand-written one, read whole."""
+def _weights(lexicon: DataFrame, suffixes: DataFrame, top: int) -> tuple[DataFrame, Callable, Callable, list[str]]:
+    """``(terms, tails, ending, languages)``: ``token, ws`` of the lexicon, a function from a token and the languages that hold
+    it to its weights by suffix, whether a token ends in any suffix, and the languages that weights can name. The suffix table is a hand-written one, read whole."""
     ranks = term_ranks(lexicon)
     terms = ranks.groupBy(F.col("term").alias("token")).agg(F.collect_list(F.struct("lang", (F.lit(float(top)) - F.col("term_rank")).alias("w"), F.lit(1).alias("hit"))).alias("ws"))
     languages = sorted(r[0] for r in ranks.select("lang").distinct().collect())
@@ -76,7 +77,11 @@ def _weights(lexicon: DataFrame, suffixes: DataFrame, top: int) -> tuple[DataFra
         found = [F.when(token.endswith(e.suffix) & ~F.array_contains(held, e.lang), F.struct(F.lit(e.lang).alias("lang"), F.lit(top / 2).alias("w"), F.lit(0).alias("hit"))) for e in ends]
         return F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array().cast("array<struct<lang:string,w:double,hit:int>>")
 
-    return terms, tails, languages
+    def ending(token: Column) -> Column:
+        quoted = sorted({re.sub(r"([^\w])", r"\\\1", e.suffix) for e in ends})
+        return token.rlike("(?:" + "|".join(quoted) + ")$") if quoted else F.lit(False)
+
+    return terms, tails, ending, languages
 
 
 def best_language(tokens: DataFrame, keys: list[str], lexicon: DataFrame, suffixes: DataFrame, top: int) -> DataFrame:
@@ -87,7 +92,7 @@ def best_language(tokens: DataFrame, keys: list[str], lexicon: DataFrame, suffix
     name. A lexicon of at most ``BROADCAST_ROWS`` terms is broadcast, and one aggregation per key, a sum per language, is all
     that is shuffled. A larger one is joined by token with frequent tokens dealt to salts.
     """
-    terms, tails, languages = _weights(lexicon, suffixes, top)
+    terms, tails, ending, languages = _weights(lexicon, suffixes, top)
     if not languages:
         return tokens.select(*keys, F.lit(None).cast("string").alias("lang")).limit(0)
     if small(terms, BROADCAST_ROWS):
@@ -95,8 +100,11 @@ def best_language(tokens: DataFrame, keys: list[str], lexicon: DataFrame, suffix
     else:
         a, b, on = dealt(tokens, terms, ["token"], keys[0])
         weighed = a.join(b, on, "left")
+    # most tokens end in no suffix, and many are in no lexicon either
+    ends = ending(F.col("token"))
     ws = F.coalesce("ws", F.array().cast("array<struct<lang:string,w:double,hit:int>>"))
-    weighed = weighed.select(*keys, F.inline(F.concat(ws, tails(F.col("token"), F.coalesce(F.col("ws.lang"), F.array().cast("array<string>"))))))
+    both = F.concat(ws, tails(F.col("token"), F.coalesce(F.col("ws.lang"), F.array().cast("array<string>"))))
+    weighed = weighed.filter(F.col("ws").isNotNull() | ends).select(*keys, F.inline(F.when(ends, both).otherwise(ws)))
     sums = [F.sum(F.when(F.col("lang") == x, F.col("w"))).alias(f"w{k}") for k, x in enumerate(languages)]
     scored = weighed.groupBy(*keys).agg(F.sum("hit").alias("hits"), *sums).filter("hits > 0")
     # least of (-weight, name)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.words import words
+from textloom.operators.skew import small
 from textloom.plans.materialize import materialize
 
 BEGIN, END = "<s>", "</s>"
@@ -46,9 +47,14 @@ def score(docs: DataFrame, model: DataFrame, id_col: str = "id", text: str = "te
         return rows.groupBy("id").agg(F.sum(log_p).alias("s"), F.count("*").alias("k"))
 
     other = pairs.join(frequent, ["a", "b"], "left_anti").join(rare, ["a", "b"], "left")
+    firsts = model.select("a", F.col("n_a").alias("c_a")).distinct()
+    if small(firsts):
+        # all first words fit: one pass looks up both
+        looked_up = other.join(F.broadcast(firsts.withColumnRenamed("c_a", "f_a")), "a", "left").select("id", "c", F.coalesce("c_a", "f_a").alias("c_a"))
+        sums = summed(pairs.join(frequent, ["a", "b"]).select("id", "c", "c_a")).unionByName(summed(looked_up))
+        return sums.groupBy("id").agg(F.exp(-F.sum("s") / F.sum("k")).alias("perplexity"))
     known = other.filter("c is not null")
     unseen = other.filter("c is null").select("id", "a")
-    firsts = model.select("a", F.col("n_a").alias("c_a")).distinct()
     common, seldom = F.broadcast(firsts.filter(F.col("c_a") > often)), firsts.filter(F.col("c_a") <= often)
     missing = F.lit(None).cast("long").alias("c")
     parts = [
