@@ -67,3 +67,39 @@ def test_categories_and_pictures(spark):
 
 def test_punctuation_tags(spark):
     assert run(spark, [".", "<<x", "palabra", "¿", None], words.punctuation_tag) == ["Fp", "Fra", "", "Fia", None]
+
+
+def test_encoder_on_texts_of_every_shape(spark):
+    rows = {
+        "CafÃ© e pÃ£o": "Café e pão",
+        r"a \xe1 ñ b": "a á ñ b",
+        "“dixo”": '"dixo"',
+        "fin� de": "fin de",
+        "&amp; &eacute; &#241;": "& é ñ",
+        "a​b⁠c﻿": "abc",
+        "uno dous　tres": "uno dous tres",
+        "ola 🙂 мир 中文 ابجد": "ola 🙂 мир 中文 ابجد",
+        "%C3%A1 %2541 %2520 %2500x %E2%80%9C %E2%80 %E2%84": "á A %20 x “ › ™",
+        "Å\"uvre Ã<81>": "œuvre Á",
+        "a␍b␊c␅d": "a b c ?d".replace(" ?", "?"),
+        "ﬁn Ｏｌａ": "fin Ola",
+        "liña\nnova\tcorta": "liña nova corta",
+        "": "",
+        "   ": "",
+    }
+    df = spark.createDataFrame([(k,) for k in [*rows, None]], "t string")
+    got = {r.t: r.f for r in df.select("t", clean.encode_fix(F.col("t")).alias("f")).collect()}
+    assert got == rows | {None: None}
+    # every line by itself: line ends and tabs vanish with the other non-printables
+    lines = df.select("t", clean.encode_fix(F.col("t"), keep_breaks=False).alias("f")).filter("t like 'liña%'").first()
+    assert lines.f == "liñanovacorta"
+    kept = df.select("t", clean.encode_fix(F.col("t"), "Lu Ll Zs", emojis=True).alias("f")).filter("t like 'ola%'").first()
+    assert kept.f == "ola 🙂 мир"
+
+
+def test_tags_delimiters_and_bytes(spark):
+    df = spark.createDataFrame([("<p class='x'>a&amp;b</p><!-- c --><script>if (a<b) x()</script> 3 < 4",), (None,), ("",)], "t string")
+    assert [r[0] for r in df.select(clean.remove_tags(F.col("t"))).collect()] == [" a&b    3 < 4", None, ""]
+    assert clean.delimiter(r"\n\n\tá\\") == "\n\n\tá\\" and clean.delimiter("||") == "||"
+    raw = spark.createDataFrame([(bytearray(b"a\xff\xc3\xb1\xed\xa0\x80"),), (None,), (bytearray("ñ 🙂".encode()),)], "b binary")
+    assert [r[0] for r in raw.select(clean.invalid_bytes(F.col("b"))).collect()] == ["añ", None, "ñ 🙂"]
