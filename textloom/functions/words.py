@@ -28,12 +28,12 @@ def _once(c: Column, function) -> Column:
 
 def word_count(c: Column) -> Column:
     """Runs of non-blank characters."""
-    return F.when(c.isNotNull(), F.size(words(c)))
+    return F.array_size(words(c))
 
 
 def words(c: Column) -> Column:
     """Cut at blanks: the engine's expressions that extract or count all matches copy the whole text for each match."""
-    return _once(c, lambda x: _by_blanks(x, lambda s, w: F.filter(F.split(x, f"{s}+"), lambda t: t != "")))
+    return _once(c, lambda x: _by_blanks(x, lambda s, w: F.array_remove(F.split(x, f"{s}+"), "")))
 
 
 def strip(c: Column) -> Column:
@@ -72,8 +72,8 @@ def language_tokens(c: Column, document: bool = False) -> Column:
     """
     text = F.lower(join_acronyms(c) if document else c)
     apart = (_CLASS_DOCUMENT if document else _CLASS)[1:-1]
-    wanted = (lambda t: (t != "") & ~t.rlike(_CLASS)) if document else (lambda t: t != "")
-    return _once(text, lambda x: _by_blanks(x, lambda s, w: F.filter(F.split(x, f"[{s[1:-1] if s.startswith('[') else s}{apart}]+"), wanted)))
+    found = _once(text, lambda x: _by_blanks(x, lambda s, w: F.array_remove(F.split(x, f"[{s[1:-1] if s.startswith('[') else s}{apart}]+"), "")))
+    return F.filter(found, lambda t: ~t.rlike(_CLASS)) if document else found
 
 
 # Part-of-speech tags of punctuation.
