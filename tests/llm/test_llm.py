@@ -1,9 +1,11 @@
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from textloom.llm import consistent, encode, garble, language, layout, leak, near, pairs, quality, subject
 
@@ -21,6 +23,45 @@ def test_consistent_form_of_text():
     assert f(f("Ｃа́ ﬂ")) == f("Ｃа́ ﬂ")
 
 
+def test_form_of_every_character_that_can_change(spark):
+    cps = sorted({*range(1, 0x2100), *consistent.mapping()})
+    rows = [(cp, t) for cp in cps for t in ("a" + chr(cp), chr(cp) + "\n")] + [(0, ""), (0, None), (0, "á\n" * 9 + "ο")]
+    got = docu(spark, rows).select("text", consistent.consistent("text").alias("form"), (~F.col("text").rlike(consistent.UNCHANGED)).alias("odd")).collect()
+    assert len(got) == len(rows) and [r.text for r in got if r.form != (r.text and consistent.consistent_text(r.text))] == []
+    assert [r.text for r in got if r.text is not None and r.odd != bool(re.search(consistent.ODD, r.text))] == []
+
+
+def test_plain_texts_cost_no_more_than_three_word_counts(spark):
+    texts = spark.range(0, 4000, 1, 4).select(F.concat(F.col("id").cast("string"), F.repeat(F.lit(SENTENCE), 40)).alias("text"))
+
+    def seconds(number):
+        took = []
+        for _ in range(3):
+            begun = time.perf_counter()
+            texts.select(F.sum(number)).collect()
+            took.append(time.perf_counter() - begun)
+        return min(took)
+
+    forms, words = seconds(F.length(consistent.consistent("text"))), seconds(consistent.word_count(F.col("text")))
+    assert forms < 3 * words, (forms, words)
+
+
+def test_forms_are_made_once_and_again_for_partners_only(spark, monkeypatch):
+    plans = {}
+
+    def kept(df, name, write=consistent.materialize):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(consistent, "materialize", kept)
+    t = SENTENCE.format(1)
+    rows = [(1, t), (2, t.replace("o", "ο")), (3, "curto"), (4, "cυrto"), (5, None)]
+    assert {r.id for r in consistent.lookalike_classes(docu(spark, rows)).collect()} == {1, 2}
+    assert plans["skeletons"].count("ArrowEvalPython") == 1
+    above, join, below = plans["look-alikes"].partition("Join")
+    assert join and above.count("ArrowEvalPython") == 1 and "ArrowEvalPython" not in below and "regexp" not in below
+
+
 def test_lookalikes_and_copies(spark):
     t = SENTENCE.format(1)
     rows = [(1, t), (2, t.replace("o", "ο")), (3, t.replace("día", "día")), (4, t.upper()), (5, None), (6, ""), (7, t), (8, "curto"), (9, "cυrto")]
